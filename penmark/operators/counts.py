@@ -21,7 +21,13 @@ def group_count(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def explode_words(df: DataFrame, *keep: str, tokens: str = "tokens") -> DataFrame:
-    return df.select(*keep, F.explode(tokens).alias("word"))
+    """One row per token; empty arrays give none.
+
+    A plain explode makes the optimizer filter on the array's size first, which
+    computes the tokens twice when they are not stored. The outer form does not,
+    and its one null row per empty array is dropped right after.
+    """
+    return df.select(*keep, F.explode_outer(tokens).alias("word")).where(F.col("word").isNotNull())
 
 
 def word_counts(df: DataFrame, tokens: str = "tokens") -> DataFrame:
@@ -35,13 +41,11 @@ def bigram_rows(df: DataFrame, *keep: str, tokens: str = "tokens") -> DataFrame:
     generated code, which lambda functions would leave.
     """
     t = F.col(tokens)
-    pairs = F.arrays_zip(
-        F.slice(t, F.lit(1), F.size(t) - 1).alias("left"),
-        F.slice(t, F.lit(2), F.size(t) - 1).alias("right"),
-    )
+    n = F.greatest(F.size(t) - 1, F.lit(0))
+    pairs = F.arrays_zip(F.slice(t, F.lit(1), n).alias("left"), F.slice(t, F.lit(2), n).alias("right"))
     return (
-        df.where(F.size(t) >= 2)
-        .select(*keep, F.inline(pairs).alias("left", "right"))
+        df.select(*keep, F.inline_outer(pairs).alias("left", "right"))
+        .where(F.col("right").isNotNull())
         .select(*keep, F.concat_ws(" ", "left", "right").alias("bigram"))
     )
 

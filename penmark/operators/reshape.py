@@ -18,13 +18,14 @@ def to_long(wide: DataFrame, keep: tuple[str, ...] = ("doc_id", "generation_meth
     """One row per author and abstract, null texts kept.
 
     The input is scanned once; a union of one select per author would scan it
-    once per author.
+    once per author. Unpivoting also lets the optimizer leave out the texts
+    when a query needs only labels or row counts.
     """
-    entries = [
-        F.struct(F.lit(generator).alias("generator"), F.lit(label).alias("label"), F.col(column).alias("text"))
-        for generator, label, column in authors()
-    ]
-    return wide.select(*keep, F.inline(F.array(*entries)))
+    renamed = wide.select(*keep, *[F.col(column).alias(generator) for generator, _, column in authors()])
+    label = F.when(F.col("generator").isin(*[g for g, kind, _ in authors() if kind == "human"]), "human")
+    return renamed.unpivot(list(keep), [g for g, _, _ in authors()], "generator", "text").select(
+        *keep, "generator", label.otherwise("ai").alias("label"), "text"
+    )
 
 
 def author_rows(wide: DataFrame, generator: str, keep: tuple[str, ...] = ("doc_id", "generation_method")) -> DataFrame:

@@ -27,9 +27,9 @@ def term_statistics(df: DataFrame, tokens: str = "tokens") -> DataFrame:
     """
     s = F.col("s")
     return (
-        df.where(F.size(tokens) > 0)
-        .select(F.sort_array(tokens).alias("s"))
-        .select(F.inline(F.arrays_zip(s, F.slice(s, F.lit(2), F.size(s)))).alias("term", "following"))
+        df.select(F.sort_array(tokens).alias("s"))
+        .select(F.inline_outer(F.arrays_zip(s, F.slice(s, F.lit(2), F.size(s)))).alias("term", "following"))
+        .where(F.col("term").isNotNull())
         .groupBy("term")
         .agg(
             F.count(F.lit(1)).alias("cf"),
@@ -72,7 +72,7 @@ def tfidf_rows(
     and salt: a term found in every document is spread over ``salts`` tasks,
     and each salt has its own copy of the terms.
     """
-    counted = df.select(*key, F.inline(term_counts(F.col(tokens))))
+    counted = df.select(*key, F.inline_outer(term_counts(F.col(tokens)))).where(F.col("term").isNotNull())
     terms = terms.select("term", "df", "idf")
     if vocab_size <= broadcast_terms:
         joined = counted.join(F.broadcast(terms), "term")

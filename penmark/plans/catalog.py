@@ -656,7 +656,7 @@ def x1_stream_lines(spark, sf):
 
 @query
 def x2_stream_features(spark, sf):
-    rows = streamed_features(spark, sf, max_files_per_trigger=2)
+    rows = streamed_features(spark, sf)
     return rows.select(
         "text",
         "clean_text",
