@@ -6,6 +6,7 @@ on a batch frame and on a stream.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -87,8 +88,8 @@ def average_word_length(tokens: Column) -> Column:
 
 def question_marks(raw: Column, profile: LanguageProfile = ARABIC) -> Column:
     """Counted on the raw text: cleaning may drop the marks."""
-    text = F.coalesce(raw, F.lit(""))
-    return F.length(text) - F.length(F.translate(text, profile.question_marks, ""))
+    marks = "[" + re.escape(profile.question_marks) + "]"
+    return F.coalesce(F.regexp_count(raw, F.lit(marks)), F.lit(0))
 
 
 def count_listed(tokens: Column, listed: tuple[str, ...]) -> Column:

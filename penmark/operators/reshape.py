@@ -28,6 +28,16 @@ def to_long(wide: DataFrame, keep: tuple[str, ...] = ("doc_id", "generation_meth
     )
 
 
+def with_source_key(wide: DataFrame) -> DataFrame:
+    """Add ``doc_id`` to a corpus without one: a hash of the human text.
+
+    Versions of one abstract share the key under every generation method, so a
+    split on it keeps them together. Without a human text the others are hashed.
+    """
+    generated = F.concat_ws("\u001f", *[F.col(c) for _, label, c in authors() if label == "ai"])
+    return wide.withColumn("doc_id", F.md5(F.coalesce(F.col(HUMAN_COLUMN), generated)))
+
+
 def author_rows(wide: DataFrame, generator: str, keep: tuple[str, ...] = ("doc_id", "generation_method")) -> DataFrame:
     """The rows of one author only, with the same columns as ``to_long``."""
     label, column = {g: (lab, col) for g, lab, col in authors()}[generator]

@@ -648,6 +648,24 @@ def streamed_features(spark: SparkSession, sf: str, **read) -> DataFrame:
     return spark.read.parquet(out)
 
 
+@query
+def s7_text_stream(spark, sf):
+    """The lines themselves, read as a stream a few files at a time."""
+    out = fresh_dir(spark, "lines-read")
+    lines = scoring.read_lines(spark, landed_lines(spark, sf), max_files_per_trigger=4)
+    scoring.write_to_table(lines, out, f"{out}-checkpoint").awaitTermination()
+    return spark.read.schema("value string").parquet(out)
+
+
+@query
+def s8_batch_sink(spark, sf):
+    """Clean lines through the per-batch sink, read back over all batches."""
+    out = fresh_dir(spark, "batches")
+    lines = scoring.featured_lines(scoring.read_lines(spark, landed_lines(spark, sf), max_files_per_trigger=4))
+    scoring.write_batches(lines.select("text", "clean_text"), out, f"{out}-checkpoint").awaitTermination()
+    return spark.read.parquet(out).select("text", "clean_text")
+
+
 @query
 def x1_stream_lines(spark, sf):
     """Lines as they arrive, blank ones included, and how often each occurs."""
@@ -680,6 +698,19 @@ def x3_stream_scoring(spark, sf):
     return spark.read.parquet(out)
 
 
+@query
+def x4_x5_interval_append(spark, sf):
+    """Append mode on a processing-time trigger, stopped once the files are read."""
+    out = fresh_dir(spark, "interval")
+    lines = scoring.featured_lines(scoring.read_lines(spark, landed_lines(spark, sf)))
+    running = scoring.write_to_table(lines.select("text"), out, f"{out}-checkpoint", interval="1 second")
+    try:
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    return counts.group_count(spark.read.parquet(out), "text")
+
+
 @query
 def x6_stream_restart(spark, sf):
     """One checkpoint started once per landing of files; each line counts once."""

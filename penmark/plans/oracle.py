@@ -306,7 +306,10 @@ SQL: dict[str, str] = {
     "f9_explode_tokens": f"WITH {WORDS} SELECT doc_id, generator, word FROM w",
     "f10_bigrams": f"WITH {BIGRAMS} SELECT doc_id, generator, array_to_string(pairs, '|') AS bigrams FROM b",
     # streams, whose rows do not depend on how they arrive
+    "s7_text_stream": f"WITH {LINES} SELECT text AS value FROM lines",
+    "s8_batch_sink": f"WITH {LINES},\n{prepared('lines')} SELECT text, clean_text FROM prepared",
     "x1_stream_lines": LINE_COUNT,
+    "x4_x5_interval_append": LINE_COUNT,
     "x2_stream_features": f"WITH {LINES},\n{prepared('lines')},\n{featured()}"
     " SELECT text, clean_text, len(tokens)::BIGINT AS n_tokens,"
     " round(feature_10_avg_word_length, 6) AS feature_10_avg_word_length, feature_30_question_marks,"

@@ -36,7 +36,7 @@ from penmark.operators.sampling import SPLITS, with_split
 from penmark.operators.tfidf import MIN_DF, VOCAB_SIZE
 from penmark.sources.corpus import load_model, save_model, write_report_csv, write_table
 
-ROW_KEY = ("doc_id", "generator")
+ROW_KEY = ("doc_id", "generation_method", "generator")
 
 
 @dataclass(frozen=True)
@@ -61,13 +61,20 @@ def build_corpus(wide: DataFrame, ws: Workspace, profile: LanguageProfile = ARAB
 
 
 def build_features(
-    corpus: DataFrame, ws: Workspace, profile: LanguageProfile = ARABIC, split_key: str = "doc_id"
+    corpus: DataFrame,
+    ws: Workspace,
+    profile: LanguageProfile = ARABIC,
+    split_key: str = "doc_id",
+    keep_texts: bool = False,
 ) -> DataFrame:
     """Stylometric columns, label index and split, stored by split.
 
-    Readers of one split skip the other two by their folder.
+    Readers of one split skip the other two by their folder. The texts stay in
+    the corpus table unless ``keep_texts``: nothing after this stage reads them.
     """
     featured = add_style_features(corpus, profile).withColumn("label_index", label_index(F.col("label")))
+    if not keep_texts:
+        featured = featured.drop("text", "clean_text")
     return write_table(with_split(featured, split_key), ws.table("features"), partition_by="split")
 
 
