@@ -12,9 +12,10 @@ from penmark.functions.text import FEATURE_COLUMNS
 from penmark.operators.tfidf import (
     MIN_DF,
     VOCAB_SIZE,
-    collect_vocabulary,
+    collect_terms,
     count_vectorizer,
-    idf_estimator,
+    idf_scaler,
+    idf_weights,
     vocabulary,
 )
 from penmark.sources.corpus import union_all
@@ -48,9 +49,12 @@ def fit_features(
 
     Give it the training rows only, or test rows shape the features.
     """
-    cv = count_vectorizer(collect_vocabulary(vocabulary(featured, vocab_size, min_df)))
-    idf = idf_estimator().fit(cv.transform(featured.select("tokens")))
-    return PipelineModel(stages=[cv, idf, assembler()])
+    terms = collect_terms(vocabulary(featured, vocab_size, min_df))
+    if not terms:
+        raise ValueError(f"no term occurs in {min_df} documents")
+    cv = count_vectorizer([term for term, _ in terms])
+    scaler = idf_scaler(idf_weights(terms, featured.count()))
+    return PipelineModel(stages=[cv, *scaler, assembler()])
 
 
 def classifier(name: str, weight_col: str | None = None) -> Estimator:

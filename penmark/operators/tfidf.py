@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import IDF, CountVectorizerModel
+import math
+
+from pyspark.ml import Transformer
+from pyspark.ml.feature import IDF, CountVectorizerModel, ElementwiseProduct, VectorSizeHint
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -91,10 +95,27 @@ def count_vectorizer(vocab: list[str], tokens: str = "tokens", output: str = "ra
     return CountVectorizerModel.from_vocabulary(vocab, inputCol=tokens, outputCol=output)
 
 
-def collect_vocabulary(terms: DataFrame) -> list[str]:
-    """Terms in rank order, on the driver: ``vocabulary`` has limited them already."""
-    return [r.term for r in terms.orderBy(F.desc("cf"), "term").select("term").collect()]
+def collect_terms(terms: DataFrame) -> list[tuple[str, int]]:
+    """``(term, df)`` in rank order, on the driver: ``vocabulary`` has limited them already."""
+    return [(r.term, r.df) for r in terms.orderBy(F.desc("cf"), "term").collect()]
+
+
+def idf_weights(terms: list[tuple[str, int]], n_rows: int) -> list[float]:
+    return [math.log((n_rows + 1.0) / (df + 1.0)) for _, df in terms]
+
+
+def idf_scaler(weights: list[float], raw: str = "raw_features", output: str = "tfidf_features") -> list[Transformer]:
+    """Multiply raw counts by known weights, and declare the width of the result.
+
+    The vocabulary already holds document frequencies, so fitting ``IDF`` would
+    read the corpus once more for the same numbers.
+    """
+    return [
+        ElementwiseProduct(scalingVec=Vectors.dense(weights), inputCol=raw, outputCol=output),
+        VectorSizeHint(inputCol=output, size=len(weights), handleInvalid="optimistic"),
+    ]
 
 
 def idf_estimator(raw: str = "raw_features", output: str = "tfidf_features") -> IDF:
+    """The estimator, for counts whose document frequencies are not known."""
     return IDF(inputCol=raw, outputCol=output)

@@ -514,9 +514,11 @@ def m1_count_vectorizer(spark, sf):
 
 @query
 def m2_idf(spark, sf):
+    """Weights of the estimator fitted on the training rows, over all rows."""
     fitted = Fitted.get(spark, sf)
-    cv, idf = fitted.features.stages[:2]
-    return _vector_summary(idf.transform(cv.transform(fitted.featured)), "tfidf_features")
+    counted = fitted.features.stages[0].transform(fitted.featured)
+    model = tfidf.idf_estimator().fit(stages.split_of(counted, "train"))
+    return _vector_summary(model.transform(counted), "tfidf_features")
 
 
 def _vector_summary(df: DataFrame, column: str) -> DataFrame:

@@ -34,7 +34,7 @@ from penmark.operators.projection import (
 from penmark.operators.reshape import label_index, to_long
 from penmark.operators.sampling import SPLITS, with_split
 from penmark.operators.tfidf import MIN_DF, VOCAB_SIZE
-from penmark.sources.corpus import load_model, save_model, write_report_csv, write_table
+from penmark.sources.corpus import balance, load_model, save_model, write_report_csv, write_table
 
 ROW_KEY = ("doc_id", "generation_method", "generator")
 
@@ -57,7 +57,7 @@ class Workspace:
 
 def build_corpus(wide: DataFrame, ws: Workspace, profile: LanguageProfile = ARABIC) -> DataFrame:
     """Wide corpus to labelled rows with clean text and tokens."""
-    return write_table(prepare(to_long(wide), profile), ws.table("corpus"))
+    return write_table(prepare(to_long(balance(wide)), profile), ws.table("corpus"))
 
 
 def build_features(

@@ -62,6 +62,16 @@ def scan_tagged_csv(spark: SparkSession, paths: list[str], schema: T.StructType)
     )
 
 
+def balance(df: DataFrame) -> DataFrame:
+    """Spread a scan over the cores when it has fewer splits than there are cores.
+
+    A small file, or a CSV file that cannot be split, is one split, and a single
+    task would do all its text work. A scan with enough splits is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def union_all(frames: list[DataFrame], allow_missing: bool = False) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=allow_missing), frames)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from penmark.sources.corpus import GENERATION_METHODS
+from penmark.sources.corpus import GENERATION_METHODS, balance
 
 # Fixed values of the derived corpus, shared with the SQL in plans/oracle.py.
 MARKER_WORDS = ("في", "منذ", "انا", "جامعة", "على", "خلا", "نحن", "مركز", "حاشا", "؟")
@@ -20,16 +20,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> Da
     return table.select(*columns) if columns else table
 
 
-def balance(df: DataFrame) -> DataFrame:
-    """Spread a scan over the cores when it has fewer splits than there are cores.
-
-    One small file is one split, and a single task would do all the text work.
-    A scan with enough splits, as any large corpus has, is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def wide_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents`` as a wide corpus in Arabic script: one text column per author."""
     docs = balance(read_table(spark, sf_dir, "documents", "doc_id", "text"))

@@ -2,7 +2,7 @@ import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from penmark.operators import classify, evaluation, projection
+from penmark.operators import classify, evaluation, projection, tfidf
 from penmark.plans import catalog, stages
 from penmark.sources import corpus
 
@@ -24,7 +24,10 @@ def test_only_training_rows_shape_the_features(spark, fitted):
     train = stages.split_of(fitted.featured, "train")
     on_train = classify.fit_features(train, 50, 5)
     on_all = classify.fit_features(fitted.featured, 50, 5)
-    assert on_train.stages[1].numDocs == train.count() < on_all.stages[1].numDocs
+    on_counts = on_train.stages[0].transform(train)
+    expected = tfidf.idf_estimator().fit(on_counts).idf
+    assert list(on_train.stages[1].getScalingVec()) == pytest.approx(list(expected), abs=1e-12)
+    assert list(on_all.stages[1].getScalingVec()) != list(on_train.stages[1].getScalingVec())
     assert on_train.stages[0].vocabulary == fitted.features.stages[0].vocabulary[:50]
 
 

@@ -119,10 +119,15 @@ def weights(rows, terms, size, **options):
 def test_weights_equal_the_ml_stages(spark, corpus_rows):
     rows = corpus_rows
     terms = tfidf.with_idf(tfidf.vocabulary(rows, 200), rows)
-    vocab = tfidf.collect_vocabulary(tfidf.vocabulary(rows, 200))
+    ranked = tfidf.collect_terms(tfidf.vocabulary(rows, 200))
+    vocab = [t for t, _ in ranked]
     cv = tfidf.count_vectorizer(vocab)
     counted = cv.transform(rows)
-    vectors = tfidf.idf_estimator().fit(counted).transform(counted)
+    fitted = tfidf.idf_estimator().fit(counted)
+    assert tfidf.idf_weights(ranked, rows.count()) == pytest.approx(list(fitted.idf), abs=1e-12)
+    vectors = fitted.transform(counted)
+    scaler, hint = tfidf.idf_scaler(list(fitted.idf), output="scaled")
+    assert hint.transform(scaler.transform(vectors)).where("scaled <> tfidf_features").count() == 0
     expected = (
         vectors.select("doc_id", "generator", F.posexplode(vector_to_array("tfidf_features")).alias("i", "w"))
         .where("w <> 0")

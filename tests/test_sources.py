@@ -82,9 +82,9 @@ def test_profile_counts_nulls_and_blanks(spark):
 def test_balance_only_touches_small_scans(spark, sf, tmp_path):
     one_file = tables.read_table(spark, sf, "documents", "doc_id")
     cores = spark.sparkContext.defaultParallelism
-    assert tables.balance(one_file).rdd.getNumPartitions() == cores
+    assert corpus.balance(one_file).rdd.getNumPartitions() == cores
     many = spark.range(0, 1000, 1, cores + 3)
-    assert tables.balance(many) is many
+    assert corpus.balance(many) is many
 
 
 def test_derived_corpus_exercises_the_rules(spark, sf, corpus_rows):
