@@ -32,7 +32,9 @@ HEADLINE = (
     "t5_seeded_sample",
     "t6_hash_split",
     "x2_stream_features",
+    "m3_logistic_regression",
     "m4_linear_svm",
+    "m5_random_forest",
     "m6_batch_scoring",
 )
 
@@ -52,13 +54,21 @@ def main() -> None:
     spark.sparkContext.setLogLevel("OFF")
     registered = catalog.registered()
 
-    # Start the executor threads and the code generator before the clock runs.
-    registered["t6_hash_split"](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    def run(name: str) -> None:
+        registered[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+
+    # One untimed run starts the executor threads and compiles the text code.
+    run("t1_top_20_words")
 
     seconds = {}
     for name in HEADLINE:
         start = time.perf_counter()
-        registered[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        if name == "m3_logistic_regression":
+            # Corpus, feature and vector tables, which the model queries share.
+            catalog.Fitted.get(spark, sf_dir)
+            seconds["model_tables"] = round(time.perf_counter() - start, 3)
+            start = time.perf_counter()
+        run(name)
         seconds[name] = round(time.perf_counter() - start, 3)
     print(
         json.dumps(

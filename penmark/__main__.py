@@ -93,7 +93,11 @@ def evaluate(spark, args):
 
 def project(spark, args):
     points, line = stages.build_projection(
-        stages.open_table(spark, args.ws, "vectors"), corpus.load_model(args.ws.model("features")), args.ws
+        stages.open_table(spark, args.ws, "vectors"),
+        corpus.load_model(args.ws.model("features")),
+        args.ws,
+        terms=args.terms,
+        max_width=args.max_width,
     )
     show("Points by class", counts.group_count(points, "Class"))
     show("Boundary", line.orderBy("point"), 5)
@@ -140,7 +144,9 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--models", nargs="+", choices=names, default=names)
     sub.add_argument("--balanced", action="store_true", help="weigh both classes alike")
     command(evaluate).add_argument("--models", nargs="+", choices=names, default=names)
-    command(project)
+    sub = command(project)
+    sub.add_argument("--terms", type=int, default=stages.DEFAULT_TERMS)
+    sub.add_argument("--max-width", type=int, default=stages.MAX_WIDTH)
     sub = command(stream)
     sub.add_argument("--input", required=True)
     sub.add_argument("--checkpoint", required=True)

@@ -339,8 +339,9 @@ def t3_sorted_word_count(spark, sf):
 
 @query
 def t4_peek(spark, sf):
-    rows = prepared(spark, sf).select(*KEY, "label", "generation_method", "clean_text")
-    return sampling.peek(rows, 20, *KEY)
+    # Clean only the rows that are shown.
+    rows = tx.prepare(sampling.peek(long(spark, sf), 20, *KEY))
+    return rows.select(*KEY, "label", "generation_method", "clean_text")
 
 
 @query

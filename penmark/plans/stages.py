@@ -24,6 +24,8 @@ from penmark.operators.classify import (
 )
 from penmark.operators.evaluation import compare_models
 from penmark.operators.projection import (
+    DEFAULT_TERMS,
+    MAX_WIDTH,
     boundary_line,
     fit_boundary,
     fit_pca,
@@ -143,11 +145,16 @@ def vector_width(features: PipelineModel) -> int:
 
 
 def build_projection(
-    vectors: DataFrame, features: PipelineModel, ws: Workspace, split: str = SPLITS[2]
+    vectors: DataFrame,
+    features: PipelineModel,
+    ws: Workspace,
+    split: str = SPLITS[2],
+    terms: int = DEFAULT_TERMS,
+    max_width: int = MAX_WIDTH,
 ) -> tuple[DataFrame, DataFrame]:
-    """Plot points and boundary line of one split."""
-    narrow, width = narrow_features(split_of(vectors, split), vector_width(features))
-    model = fit_pca(narrow, width)
+    """Plot points and boundary line of one split, from its most frequent ``terms``."""
+    narrow, width = narrow_features(split_of(vectors, split), vector_width(features), terms)
+    model = fit_pca(narrow, width, max_width=max_width)
     projected = write_table(project(narrow, model, *ROW_KEY), ws.table("projection"))
     points = write_table(plot_points(projected, *ROW_KEY), ws.table("plot_points"))
     line = write_table(boundary_line(points, fit_boundary(points)), ws.table("plot_line"))
