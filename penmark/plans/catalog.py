@@ -8,7 +8,10 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import cached_property
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,14 +57,62 @@ def prepared(spark: SparkSession, sf: str) -> DataFrame:
     return tx.prepare(long(spark, sf))
 
 
-def featured(spark: SparkSession, sf: str) -> DataFrame:
-    return tx.add_style_features(prepared(spark, sf))
-
-
 def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+class Stored:
+    """The corpus table, and on demand the tables and models built on it.
+
+    Made once per session and data folder. Cleaning the texts is most of the
+    work, so word counts and models read the stored tokens.
+    """
+
+    _made: dict[tuple[str, str], Stored] = {}
+
+    def __init__(self, spark: SparkSession, sf: str):
+        self.ws = stages.Workspace(fresh_dir(spark, "workspace"))
+        self.corpus = stages.build_corpus(wide(spark, sf), self.ws)
+        self._models: dict[str, PipelineModel] = {}
+
+    @classmethod
+    def get(cls, spark: SparkSession, sf: str) -> Stored:
+        at = (spark.sparkContext.applicationId, sf)
+        if at not in cls._made:
+            cls._made[at] = cls(spark, sf)
+        return cls._made[at]
+
+    @cached_property
+    def featured(self) -> DataFrame:
+        return stages.build_features(self.corpus, self.ws)
+
+    @cached_property
+    def _vectorized(self) -> tuple[DataFrame, PipelineModel]:
+        return stages.build_vectors(self.featured, self.ws, vocab_size=QUERY_VOCAB)
+
+    @property
+    def vectors(self) -> DataFrame:
+        return self._vectorized[0]
+
+    @property
+    def features(self) -> PipelineModel:
+        return self._vectorized[1]
+
+    def models(self, *names: str) -> dict:
+        names = names or tuple(classify.CLASSIFIER_SETTINGS)
+        todo = tuple(n for n in names if n not in self._models)
+        self._models.update(stages.train_models(self.vectors, self.features, self.ws, todo))
+        return {n: self._models[n] for n in names}
+
+    def scores(self, name: str, split: str = "validation") -> DataFrame:
+        scored = stages.predictions(self.vectors, self.models(name), split)
+        return _round_metrics(evaluation.compare_models(scored))
+
+
+def corpus_table(spark: SparkSession, sf: str) -> DataFrame:
+    return Stored.get(spark, sf).corpus
+
+
 def rounded(c: Column | str) -> Column:
     return F.round(c, 6)
 
@@ -133,7 +184,7 @@ def s4_parquet_sink(spark, sf):
 @query
 def s5_word_count_csv(spark, sf):
     path = fresh_dir(spark, "wordcount")
-    corpus.write_report_csv(counts.top(counts.word_counts(prepared(spark, sf)), "word", 30), path)
+    corpus.write_report_csv(counts.top(counts.word_counts(corpus_table(spark, sf)), "word", 30), path)
     return corpus.read_report_csv(spark, path, "word string, count bigint")
 
 
@@ -221,39 +272,39 @@ def a2_group_count_method(spark, sf):
 
 @query
 def a3_word_count(spark, sf):
-    return counts.word_counts(prepared(spark, sf))
+    return counts.word_counts(corpus_table(spark, sf))
 
 
 @query
 def a4_bigram_count(spark, sf):
-    return counts.bigram_counts(prepared(spark, sf))
+    return counts.bigram_counts(corpus_table(spark, sf))
 
 
 @query
 def a5_distinct_words(spark, sf):
-    return counts.distinct_words(prepared(spark, sf))
+    return counts.distinct_words(corpus_table(spark, sf))
 
 
 @query
 def a6_type_token_ratio(spark, sf):
-    return counts.type_token_ratio(prepared(spark, sf)).withColumn("ttr", rounded("ttr"))
+    return counts.type_token_ratio(corpus_table(spark, sf)).withColumn("ttr", rounded("ttr"))
 
 
 @query
 def a7_feature_means(spark, sf):
-    means = counts.feature_means(featured(spark, sf))
+    means = counts.feature_means(tx.add_style_features(corpus_table(spark, sf)))
     return means.select("label", *[rounded(c).alias(c) for c in means.columns[1:]])
 
 
 @query
 def a8_idf(spark, sf):
-    rows = prepared(spark, sf)
+    rows = corpus_table(spark, sf)
     return tfidf.with_idf(tfidf.vocabulary(rows), rows).select("term", "df", rounded("idf").alias("idf"))
 
 
 @query
 def a8_tfidf(spark, sf):
-    rows = prepared(spark, sf)
+    rows = corpus_table(spark, sf)
     terms = tfidf.with_idf(tfidf.vocabulary(rows), rows)
     weights = tfidf.tfidf_rows(rows, terms, tfidf.VOCAB_SIZE, *KEY)
     return weights.select(*KEY, "term", "tf", rounded("tfidf").alias("tfidf"))
@@ -261,7 +312,7 @@ def a8_tfidf(spark, sf):
 
 @query
 def a9_vocabulary(spark, sf):
-    return tfidf.vocabulary(prepared(spark, sf))
+    return tfidf.vocabulary(corpus_table(spark, sf))
 
 
 @query
@@ -314,27 +365,27 @@ def a15_class_recall(spark, sf):
 
 @query
 def t1_top_20_words(spark, sf):
-    return counts.top(counts.word_counts(prepared(spark, sf)), "word", 20)
+    return counts.top(counts.word_counts(corpus_table(spark, sf)), "word", 20)
 
 
 @query
 def t1_top_30_words(spark, sf):
-    return counts.top(counts.word_counts(prepared(spark, sf)), "word", 30)
+    return counts.top(counts.word_counts(corpus_table(spark, sf)), "word", 30)
 
 
 @query
 def t1_top_300_words(spark, sf):
-    return counts.top(counts.word_counts(prepared(spark, sf)), "word", 300)
+    return counts.top(counts.word_counts(corpus_table(spark, sf)), "word", 300)
 
 
 @query
 def t2_top_20_bigrams(spark, sf):
-    return counts.top(counts.bigram_counts(prepared(spark, sf)), "bigram", 20)
+    return counts.top(counts.bigram_counts(corpus_table(spark, sf)), "bigram", 20)
 
 
 @query
 def t3_sorted_word_count(spark, sf):
-    return counts.sorted_counts(counts.word_counts(prepared(spark, sf)), "word")
+    return counts.sorted_counts(counts.word_counts(corpus_table(spark, sf)), "word")
 
 
 @query
@@ -476,55 +527,23 @@ def f10_bigrams(spark, sf):
 # -- models ----------------------------------------------------------------------------------------------
 
 
-class Fitted:
-    """Tables and models that several model queries share, made once per session and data folder."""
-
-    _made: dict[tuple[str, str], Fitted] = {}
-
-    def __init__(self, spark: SparkSession, sf: str):
-        self.ws = stages.Workspace(fresh_dir(spark, "workspace"))
-        self.corpus = stages.build_corpus(wide(spark, sf), self.ws)
-        self.featured = stages.build_features(self.corpus, self.ws)
-        self.vectors, self.features = stages.build_vectors(self.featured, self.ws, vocab_size=QUERY_VOCAB)
-        self._models: dict = {}
-
-    @classmethod
-    def get(cls, spark: SparkSession, sf: str) -> Fitted:
-        at = (spark.sparkContext.applicationId, sf)
-        if at not in cls._made:
-            cls._made[at] = cls(spark, sf)
-        return cls._made[at]
-
-    def models(self, *names: str) -> dict:
-        names = names or tuple(classify.CLASSIFIER_SETTINGS)
-        todo = tuple(n for n in names if n not in self._models)
-        self._models.update(stages.train_models(self.vectors, self.features, self.ws, todo))
-        return {n: self._models[n] for n in names}
-
-    def scores(self, name: str, split: str = "validation") -> DataFrame:
-        scored = stages.predictions(self.vectors, self.models(name), split)
-        return _round_metrics(evaluation.compare_models(scored))
-
-
 @query
 def m1_count_vectorizer(spark, sf):
-    fitted = Fitted.get(spark, sf)
-    vectors = fitted.features.stages[0].transform(fitted.featured)
+    stored = Stored.get(spark, sf)
+    vectors = stored.features.stages[0].transform(stored.featured)
     return _vector_summary(vectors, "raw_features")
 
 
 @query
 def m2_idf(spark, sf):
     """Weights of the estimator fitted on the training rows, over all rows."""
-    fitted = Fitted.get(spark, sf)
-    counted = fitted.features.stages[0].transform(fitted.featured)
+    stored = Stored.get(spark, sf)
+    counted = stored.features.stages[0].transform(stored.featured)
     model = tfidf.idf_estimator().fit(stages.split_of(counted, "train"))
     return _vector_summary(model.transform(counted), "tfidf_features")
 
 
 def _vector_summary(df: DataFrame, column: str) -> DataFrame:
-    from pyspark.ml.functions import vector_to_array
-
     values = F.col("v")
     return df.select(*KEY, vector_to_array(column).alias("v")).select(
         *KEY,
@@ -535,31 +554,31 @@ def _vector_summary(df: DataFrame, column: str) -> DataFrame:
 
 @query
 def p7_assembled_vectors(spark, sf):
-    return _vector_summary(Fitted.get(spark, sf).vectors, "features")
+    return _vector_summary(Stored.get(spark, sf).vectors, "features")
 
 
 @query
 def m3_logistic_regression(spark, sf):
-    return Fitted.get(spark, sf).scores(classify.LOGISTIC_REGRESSION)
+    return Stored.get(spark, sf).scores(classify.LOGISTIC_REGRESSION)
 
 
 @query
 def m4_linear_svm(spark, sf):
-    return Fitted.get(spark, sf).scores(classify.LINEAR_SVM)
+    return Stored.get(spark, sf).scores(classify.LINEAR_SVM)
 
 
 @query
 def m5_random_forest(spark, sf):
-    return Fitted.get(spark, sf).scores(classify.RANDOM_FOREST)
+    return Stored.get(spark, sf).scores(classify.RANDOM_FOREST)
 
 
 @query
 def m6_batch_scoring(spark, sf):
     """Raw feature rows of the test split through the saved and reloaded SVM."""
-    fitted = Fitted.get(spark, sf)
-    fitted.models(classify.LINEAR_SVM)
-    model = corpus.load_model(fitted.ws.model(classify.LINEAR_SVM))
-    rows = stages.split_of(fitted.featured, "test")
+    stored = Stored.get(spark, sf)
+    stored.models(classify.LINEAR_SVM)
+    model = corpus.load_model(stored.ws.model(classify.LINEAR_SVM))
+    rows = stages.split_of(stored.featured, "test")
     return classify.score(rows, model, *KEY, "label_index").withColumn(
         "detected_as", reshape.decode_prediction(F.col("prediction"))
     )
@@ -568,17 +587,17 @@ def m6_batch_scoring(spark, sf):
 @query
 def s9_s10_model_round_trip(spark, sf):
     """Confusion counts of every saved and reloaded model on the test split."""
-    fitted = Fitted.get(spark, sf)
-    fitted.models()
-    scored = stages.predictions(fitted.vectors, stages.load_models(fitted.ws), "test")
+    stored = Stored.get(spark, sf)
+    stored.models()
+    scored = stages.predictions(stored.vectors, stages.load_models(stored.ws), "test")
     return evaluation.confusion_counts(scored, "model")
 
 
 @query
 def a15_trained_model_comparison(spark, sf):
-    fitted = Fitted.get(spark, sf)
+    stored = Stored.get(spark, sf)
     return _round_metrics(
-        stages.report_comparison(stages.predictions(fitted.vectors, fitted.models(), "test"), fitted.ws)
+        stages.report_comparison(stages.predictions(stored.vectors, stored.models(), "test"), stored.ws)
     )
 
 
@@ -587,8 +606,6 @@ def a15_trained_model_comparison(spark, sf):
 
 def _embedding_plane(spark: SparkSession, sf: str) -> DataFrame:
     """``embeddings`` projected to two components; label below 5 counts as human."""
-    from pyspark.ml.functions import array_to_vector
-
     rows = tables.read_table(spark, sf, "embeddings").select(
         "vec_id",
         array_to_vector(F.col("embedding").cast("array<double>")).alias("features"),
@@ -605,8 +622,6 @@ def m7_pca(spark, sf):
 
 @query
 def p8_vector_element(spark, sf):
-    from pyspark.ml.functions import array_to_vector, vector_to_array
-
     vector = array_to_vector(F.col("embedding").cast("array<double>"))
     rows = tables.read_table(spark, sf, "embeddings").select("vec_id", vector.alias("v"))
     parts = vector_to_array("v")
@@ -630,8 +645,8 @@ def m9_plot_points(spark, sf):
 
 @query
 def m7_m9_corpus_projection(spark, sf):
-    fitted = Fitted.get(spark, sf)
-    return stages.build_projection(fitted.vectors, fitted.features, fitted.ws)[0]
+    stored = Stored.get(spark, sf)
+    return stages.build_projection(stored.vectors, stored.features, stored.ws)[0]
 
 
 # -- streams ------------------------------------------------------------------------------------------------------
@@ -691,9 +706,9 @@ _DOUBLE_FEATURES = ("feature_10_avg_word_length", "feature_90_entity_diversity")
 
 @query
 def x3_stream_scoring(spark, sf):
-    fitted = Fitted.get(spark, sf)
-    fitted.models(classify.LINEAR_SVM)
-    model = corpus.load_model(fitted.ws.model(classify.LINEAR_SVM))
+    stored = Stored.get(spark, sf)
+    stored.models(classify.LINEAR_SVM)
+    model = corpus.load_model(stored.ws.model(classify.LINEAR_SVM))
     lines = scoring.read_lines(spark, landed_lines(spark, sf), max_files_per_trigger=4)
     out = fresh_dir(spark, "scored")
     scored = scoring.scored_lines(scoring.featured_lines(lines), model)

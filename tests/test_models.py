@@ -11,7 +11,7 @@ SMALL = (classify.LOGISTIC_REGRESSION, classify.LINEAR_SVM)
 
 @pytest.fixture(scope="module")
 def fitted(spark, sf):
-    return catalog.Fitted.get(spark, sf)
+    return catalog.Stored.get(spark, sf)
 
 
 def test_vectors_hold_vocabulary_and_style(fitted):
