@@ -35,7 +35,7 @@ def explore(spark, args):
 
 
 def prepare(spark, args):
-    wide = read_raw(spark, args)
+    wide = corpus.balance(read_raw(spark, args))
     table = stages.build_corpus(wide if "doc_id" in wide.columns else with_source_key(wide), args.ws)
     show("Rows", counts.row_count(table))
     show("Rows by label", counts.group_count(table, "label"))
@@ -79,14 +79,14 @@ def train(spark, args):
     table = stages.open_table(spark, args.ws, "vectors")
     feature_model = corpus.load_model(args.ws.model("features"))
     models = stages.train_models(table, feature_model, args.ws, tuple(args.models), args.balanced)
-    scored = stages.predictions(table, models, sampling.SPLITS[1])
+    scored = stages.store_predictions(table, models, args.ws, sampling.SPLITS[1])
     show("Validation", evaluation.compare_models(scored))
     show("Confusion counts", evaluation.confusion_counts(scored, "model"))
 
 
 def evaluate(spark, args):
     models = stages.load_models(args.ws, tuple(args.models))
-    scored = stages.predictions(stages.open_table(spark, args.ws, "vectors"), models, sampling.SPLITS[2])
+    scored = stages.store_predictions(stages.open_table(spark, args.ws, "vectors"), models, args.ws, sampling.SPLITS[2])
     show("Test", stages.report_comparison(scored, args.ws))
     show("Recall by class", evaluation.class_recall(evaluation.confusion_cells(scored, "model"), "model"))
 

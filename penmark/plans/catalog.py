@@ -192,9 +192,7 @@ def s5_word_count_csv(spark, sf):
 def s6_metrics_csv(spark, sf):
     path = fresh_dir(spark, "metrics")
     corpus.write_report_csv(evaluation.compare_models(rule_predictions(spark, sf)), path)
-    table = corpus.read_report_csv(
-        spark, path, "Model string, Accuracy double, `F1-Score` double, TN bigint, FP bigint, FN bigint, TP bigint"
-    )
+    table = corpus.read_report_csv(spark, path, stages.METRICS)
     return _round_metrics(table)
 
 

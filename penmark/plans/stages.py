@@ -36,7 +36,7 @@ from penmark.operators.projection import (
 from penmark.operators.reshape import label_index, to_long
 from penmark.operators.sampling import SPLITS, with_split
 from penmark.operators.tfidf import MIN_DF, VOCAB_SIZE
-from penmark.sources.corpus import balance, load_model, save_model, write_report_csv, write_table
+from penmark.sources.corpus import load_model, read_report_csv, save_model, write_report_csv, write_table
 
 ROW_KEY = ("doc_id", "generation_method", "generator")
 
@@ -59,7 +59,7 @@ class Workspace:
 
 def build_corpus(wide: DataFrame, ws: Workspace, profile: LanguageProfile = ARABIC) -> DataFrame:
     """Wide corpus to labelled rows with clean text and tokens."""
-    return write_table(prepare(to_long(balance(wide)), profile), ws.table("corpus"))
+    return write_table(prepare(to_long(wide), profile), ws.table("corpus"))
 
 
 def build_features(
@@ -132,11 +132,21 @@ def predictions(vectors: DataFrame, models: dict[str, PipelineModel], split: str
     return score_all(split_of(vectors, split), models, *ROW_KEY, "label_index")
 
 
+def store_predictions(
+    vectors: DataFrame, models: dict[str, PipelineModel], ws: Workspace, split: str
+) -> DataFrame:
+    """Predictions as a table, for reports that would otherwise score again."""
+    return write_table(predictions(vectors, models, split), ws.table(f"{split}_predictions"))
+
+
+METRICS = "Model string, Accuracy double, `F1-Score` double, TN bigint, FP bigint, FN bigint, TP bigint"
+
+
 def report_comparison(scored: DataFrame, ws: Workspace) -> DataFrame:
-    """The comparison table, also as CSV: one row per model."""
-    table = compare_models(scored).orderBy("Model")
-    write_report_csv(table, ws.report("model_comparison_results"))
-    return table
+    """The comparison table as CSV, one row per model, and read back from there."""
+    path = ws.report("model_comparison_results")
+    write_report_csv(compare_models(scored).orderBy("Model"), path)
+    return read_report_csv(scored.sparkSession, path, METRICS)
 
 
 def vector_width(features: PipelineModel) -> int:

@@ -67,6 +67,7 @@ def balance(df: DataFrame) -> DataFrame:
 
     A small file, or a CSV file that cannot be split, is one split, and a single
     task would do all its text work. A scan with enough splits is left alone.
+    Give it a scan: counting the partitions of a shuffle would run the shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
