@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from penmark.llm import byte_bpe, exact_dedup, jaccard_join, quality_rules, ring_sharding, source_mix, token_counts, warc
+from penmark.llm import byte_bpe, exact_dedup, jaccard_join, line_crf, quality_rules, ring_sharding, source_mix, substring_dedup, token_counts, warc
 from penmark.llm.common import text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,25 @@ def op2_exact_dedup(spark, sf):
     return exact_dedup.mark_copies(docs, carry=[digest])
 
 
+PREDICT_FROM = 0.3
+
+
+@query
+def op3_line_crf(spark, sf):
+    docs = table(spark, sf, "documents", "doc_id", "text")
+    fold = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(0)) % 5
+    labels = table(spark, sf, "labels", "doc_id", "quality").where(fold != 0)
+    scored = line_crf.label_lines(docs, line_crf.fit(docs, labels))
+    return scored.select(
+        "doc_id",
+        (fold == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= PREDICT_FROM).cast("int").alias("predicted"),
+        F.size("line_good").alias("n_lines"),
+        F.size(F.filter("line_good", lambda p: p < 0.5)).alias("n_bad_lines"),
+    )
+
+
 @query
 def op4_source_mix(spark, sf):
     return source_mix.taken(source_mix.mix(table(spark, sf, "documents", "doc_id", "text", "source")))
@@ -67,6 +86,11 @@ def op6_byte_bpe(spark, sf):
     )
 
 
+@query
+def op7_substring_dedup(spark, sf):
+    return substring_dedup.shared_passages(table(spark, sf, "documents", "doc_id", "text"))
+
+
 @query
 def op8_warc(spark, sf):
     pages = table(spark, sf, "pages", "page_id", "url", "html")
