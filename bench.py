@@ -16,6 +16,7 @@ HEADLINE = (
     "t1_top_20_words",
     "t2_top_20_bigrams",
     "a3_word_count",
+    "a4_bigram_count",
     "a6_type_token_ratio",
     "a7_feature_means",
     "a8_tfidf",
@@ -28,6 +29,7 @@ HEADLINE = (
     "p3_wide_to_long",
     "p9_range_trim",
     "s1_csv_scan",
+    "s4_parquet_sink",
     "s11_profile",
     "t5_seeded_sample",
     "t6_hash_split",
@@ -36,6 +38,9 @@ HEADLINE = (
     "m4_linear_svm",
     "m5_random_forest",
     "m6_batch_scoring",
+    "m7_m9_corpus_projection",
+    "x3_stream_scoring",
+    "x6_stream_restart",
 )
 
 
@@ -49,6 +54,8 @@ def main() -> None:
             "spark.driver.memory": "16g",
             "spark.ui.enabled": "false",
             "spark.sql.shuffle.partitions": str(2 * int(cpus)),
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(2 * int(cpus)),
+            catalog.SCAN_PARTITIONS: cpus,
         },
     )
     spark.sparkContext.setLogLevel("OFF")

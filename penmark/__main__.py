@@ -35,7 +35,7 @@ def explore(spark, args):
 
 
 def prepare(spark, args):
-    wide = corpus.balance(read_raw(spark, args))
+    wide = corpus.spread(read_raw(spark, args), args.partitions)
     table = stages.build_corpus(wide if "doc_id" in wide.columns else with_source_key(wide), args.ws)
     show("Rows", counts.row_count(table))
     show("Rows by label", counts.group_count(table, "label"))
@@ -52,12 +52,9 @@ def eda(spark, args):
 
 def word_count(spark, args):
     words = counts.word_counts(stages.open_table(spark, args.ws, "corpus"))
-    top = counts.top(words, "word", args.top)
-    corpus.write_report_csv(top, args.ws.report("word_count"))
-    show(f"Top {args.top} words", corpus.read_report_csv(spark, args.ws.report("word_count"), "word string, count bigint"), args.top)
-    if args.all:
-        # Range-sorted over many files: the full vocabulary does not fit one task.
-        counts.sorted_counts(words, "word").write.mode("overwrite").csv(args.ws.report("word_count_all"), header=True)
+    corpus.write_counts_csv(counts.sorted_counts(words, "word"), args.ws.report("word_count"))
+    written = corpus.read_report_csv(spark, args.ws.report("word_count"), "word string, count bigint")
+    show(f"Top {args.top} words", counts.top(written, "word", args.top), args.top)
 
 
 def features(spark, args):
@@ -94,10 +91,7 @@ def evaluate(spark, args):
 def project(spark, args):
     points, line = stages.build_projection(
         stages.open_table(spark, args.ws, "vectors"),
-        corpus.load_model(args.ws.model("features")),
         args.ws,
-        terms=args.terms,
-        max_width=args.max_width,
     )
     show("Points by class", counts.group_count(points, "Class"))
     show("Boundary", line.orderBy("point"), 5)
@@ -105,7 +99,14 @@ def project(spark, args):
 
 def stream(spark, args):
     model = corpus.load_model(args.ws.model(args.model))
-    lines = scoring.read_lines(spark, args.input, max_files_per_trigger=args.max_files)
+    lines = scoring.read_lines(
+        spark,
+        args.input,
+        max_files_per_trigger=args.max_files,
+        max_file_age=args.max_file_age,
+        clean_source=args.clean_source,
+        archive_dir=args.archive_dir,
+    )
     scored = scoring.scored_lines(scoring.featured_lines(lines, skip_blank=args.skip_blank), model)
     if args.output:
         query = scoring.write_to_table(scored, args.output, args.checkpoint, args.interval)
@@ -129,11 +130,10 @@ def parser() -> argparse.ArgumentParser:
         return sub
 
     command(explore, raw=True, workspace=False)
-    command(prepare, raw=True)
+    command(prepare, raw=True).add_argument("--partitions", type=int, help="deal few unsplittable files over so many tasks")
     command(eda).add_argument("--approximate", action="store_true", help="estimate the distinct words")
     sub = command(word_count)
-    sub.add_argument("--top", type=int, default=30)
-    sub.add_argument("--all", action="store_true", help="also write every word, over many files")
+    sub.add_argument("--top", type=int, default=30, help="words to show; all are written")
     command(features).add_argument("--keep-texts", action="store_true")
     sub = command(vectors)
     sub.add_argument("--vocab-size", type=int, default=stages.VOCAB_SIZE)
@@ -144,9 +144,7 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--models", nargs="+", choices=names, default=names)
     sub.add_argument("--balanced", action="store_true", help="weigh both classes alike")
     command(evaluate).add_argument("--models", nargs="+", choices=names, default=names)
-    sub = command(project)
-    sub.add_argument("--terms", type=int, default=stages.DEFAULT_TERMS)
-    sub.add_argument("--max-width", type=int, default=stages.MAX_WIDTH)
+    command(project)
     sub = command(stream)
     sub.add_argument("--input", required=True)
     sub.add_argument("--checkpoint", required=True)
@@ -154,6 +152,9 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--model", choices=names, default=classify.LINEAR_SVM)
     sub.add_argument("--interval", default=scoring.TRIGGER_INTERVAL)
     sub.add_argument("--max-files", type=int)
+    sub.add_argument("--max-file-age")
+    sub.add_argument("--clean-source", choices=("archive", "delete"))
+    sub.add_argument("--archive-dir")
     sub.add_argument("--skip-blank", action="store_true")
     return top
 

@@ -14,13 +14,18 @@ def authors() -> list[tuple[str, str, str]]:
     return [("original", "human", HUMAN_COLUMN), *generated]
 
 
-def to_long(wide: DataFrame, keep: tuple[str, ...] = ("doc_id", "generation_method")) -> DataFrame:
+KEYS = ("doc_id", "row_key", "generation_method")
+
+
+def to_long(wide: DataFrame, keep: tuple[str, ...] | None = None) -> DataFrame:
     """One row per author and abstract, null texts kept.
 
     The input is scanned once; a union of one select per author would scan it
     once per author. Unpivoting also lets the optimizer leave out the texts
-    when a query needs only labels or row counts.
+    when a query needs only labels or row counts. ``keep`` is by default what the
+    corpus has of ``KEYS``.
     """
+    keep = keep or tuple(k for k in KEYS if k in wide.columns)
     renamed = wide.select(*keep, *[F.col(column).alias(generator) for generator, _, column in authors()])
     label = F.when(F.col("generator").isin(*[g for g, kind, _ in authors() if kind == "human"]), "human")
     return renamed.unpivot(list(keep), [g for g, _, _ in authors()], "generator", "text").select(
@@ -29,13 +34,20 @@ def to_long(wide: DataFrame, keep: tuple[str, ...] = ("doc_id", "generation_meth
 
 
 def with_source_key(wide: DataFrame) -> DataFrame:
-    """Add ``doc_id`` to a corpus without one: a hash of the human text.
+    """Add the split key ``doc_id`` and the row key ``row_key`` to a corpus without keys.
 
-    Versions of one abstract share the key under every generation method, so a
-    split on it keeps them together. Without a human text the others are hashed.
+    ``doc_id`` is a hash of the human text: versions of one abstract share it under every
+    generation method, so a split on it keeps them together. Where that text is missing or
+    blank the others are hashed. ``row_key`` is a hash of method and all five texts, so only
+    rows that are equal in all of them share it.
     """
-    generated = F.concat_ws("\u001f", *[F.col(c) for _, label, c in authors() if label == "ai"])
-    return wide.withColumn("doc_id", F.md5(F.coalesce(F.col(HUMAN_COLUMN), generated)))
+    every = [F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("")) for _, _, c in authors()]
+    generated = [text for (_, label, _), text in zip(authors(), every) if label == "ai"]
+    human = F.when(F.trim(F.col(HUMAN_COLUMN)) != "", F.col(HUMAN_COLUMN))
+    method = F.coalesce(F.col("generation_method"), F.lit("")) if "generation_method" in wide.columns else F.lit("")
+    return wide.withColumn("doc_id", F.md5(F.coalesce(human, F.concat_ws("\u001f", *generated)))).withColumn(
+        "row_key", F.md5(F.concat_ws("\u001f", method, *every))
+    )
 
 
 def author_rows(wide: DataFrame, generator: str, keep: tuple[str, ...] = ("doc_id", "generation_method")) -> DataFrame:

@@ -17,10 +17,6 @@ from penmark.operators.counts import row_count
 VOCAB_SIZE = 5000
 MIN_DF = 5
 
-# A vocabulary up to this many terms is broadcast; a larger one is joined by shuffle.
-BROADCAST_TERMS = 200_000
-SALTS = 32
-
 
 def term_statistics(df: DataFrame, tokens: str = "tokens") -> DataFrame:
     """``term, cf, df``: how often a term occurs, and in how many documents.
@@ -60,31 +56,41 @@ def with_idf(terms: DataFrame, documents: DataFrame) -> DataFrame:
     return terms.withColumn("idf", F.log((n_rows + 1) / (F.col("df") + 1)))
 
 
-def tfidf_rows(
-    df: DataFrame,
-    terms: DataFrame,
-    vocab_size: int,
-    *key: str,
-    tokens: str = "tokens",
-    broadcast_terms: int = BROADCAST_TERMS,
-    salts: int = SALTS,
-) -> DataFrame:
+def tfidf_rows(df: DataFrame, terms: DataFrame, *key: str, tokens: str = "tokens") -> DataFrame:
     """``key, term, tf, idf, tfidf`` for every vocabulary term of every document.
 
-    ``terms`` holds at most ``vocab_size`` rows of ``term, df, idf``. Up to
-    ``broadcast_terms`` it is broadcast. Beyond that both sides shuffle on term
-    and salt: a term found in every document is spread over ``salts`` tasks,
-    and each salt has its own copy of the terms.
+    ``terms`` comes from :func:`vocabulary`, whose limit bounds what the driver and each
+    task hold. The vectoriser drops the other words before anything is exploded.
+    """
+    ranked = terms.orderBy(F.desc("cf"), "term").select("term", "idf").collect()
+    if not ranked:
+        return df.sparkSession.createDataFrame([], df.select(*key).schema).selectExpr(
+            *[f"`{k}`" for k in key], "'' AS term", "0L AS tf", "0D AS idf", "0D AS tfidf"
+        )
+    numbered = [(i, r.term, r.idf) for i, r in enumerate(ranked)]
+    names = F.broadcast(df.sparkSession.createDataFrame(numbered, "i int, term string, idf double"))
+    counted = count_vectorizer([r.term for r in ranked], tokens, "_counts").transform(df)
+    vector = F.unwrap_udt("_counts")
+    entries = counted.select(*key, F.inline_outer(F.arrays_zip(vector["indices"], vector["values"])).alias("i", "n"))
+    joined = entries.where(F.col("i").isNotNull()).join(names, "i")
+    return joined.select(
+        *key, "term", F.col("n").cast("bigint").alias("tf"), "idf", (F.col("n") * F.col("idf")).alias("tfidf")
+    )
+
+
+def tfidf_rows_by_shuffle(
+    df: DataFrame, terms: DataFrame, *key: str, salts: int, tokens: str = "tokens"
+) -> DataFrame:
+    """The same rows for vocabularies that no task should hold.
+
+    Both sides shuffle on term and salt: a term found in every document is spread over
+    ``salts`` tasks, and each salt has its own copy of the terms.
     """
     counted = df.select(*key, F.inline_outer(term_counts(F.col(tokens)))).where(F.col("term").isNotNull())
-    terms = terms.select("term", "df", "idf")
-    if vocab_size <= broadcast_terms:
-        joined = counted.join(F.broadcast(terms), "term")
-    else:
-        salted = counted.withColumn("salt", F.pmod(F.xxhash64(*key), F.lit(salts)).cast("int"))
-        copies = terms.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        joined = salted.join(copies, ["term", "salt"])
-    return joined.select(*key, "term", "tf", "idf", (F.col("tf") * F.col("idf")).alias("tfidf"))
+    salted = counted.withColumn("salt", F.pmod(F.xxhash64(*key), F.lit(salts)).cast("int"))
+    copies = terms.select("term", "idf", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
+    joined = salted.join(copies, ["term", "salt"])
+    return joined.select(*key, "term", F.col("tf").cast("bigint").alias("tf"), "idf", (F.col("tf") * F.col("idf")).alias("tfidf"))
 
 
 def count_vectorizer(vocab: list[str], tokens: str = "tokens", output: str = "raw_features") -> CountVectorizerModel:

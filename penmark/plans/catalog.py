@@ -27,8 +27,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 KEY = ("doc_id", "generator")
 
-# Terms of the models fitted for the registered queries.
-QUERY_VOCAB = 500
+# Session setting: deal tables of few splits over so many tasks. Unset, scans stay as they are.
+SCAN_PARTITIONS = "penmark.scanPartitions"
 
 _queries: dict[str, Query] = {}
 
@@ -46,7 +46,8 @@ def registered() -> dict[str, Query]:
 
 
 def wide(spark: SparkSession, sf: str) -> DataFrame:
-    return tables.wide_corpus(spark, sf)
+    partitions = spark.conf.get(SCAN_PARTITIONS, None)
+    return tables.wide_corpus(spark, sf, int(partitions) if partitions else None)
 
 
 def long(spark: SparkSession, sf: str) -> DataFrame:
@@ -61,14 +62,21 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def input_identity(spark: SparkSession, sf: str) -> tuple:
+    """Path, size and time of the files of ``documents``: another table has another identity."""
+    m = F.col("_metadata")
+    files = spark.read.parquet(f"{sf}/documents.parquet").select(m["file_path"], m["file_size"], m["file_modification_time"])
+    return tuple(files.distinct().agg(F.count("*"), F.sum(F.xxhash64(*files.columns).cast("decimal(20,0)"))).first())
+
+
 class Stored:
     """The corpus table, and on demand the tables and models built on it.
 
-    Made once per session and data folder. Cleaning the texts is most of the
-    work, so word counts and models read the stored tokens.
+    Made once per session and state of the input files. Cleaning the texts is most of
+    the work, so word counts and models read the stored tokens.
     """
 
-    _made: dict[tuple[str, str], Stored] = {}
+    _made: dict[tuple, Stored] = {}
 
     def __init__(self, spark: SparkSession, sf: str):
         self.ws = stages.Workspace(fresh_dir(spark, "workspace"))
@@ -77,7 +85,7 @@ class Stored:
 
     @classmethod
     def get(cls, spark: SparkSession, sf: str) -> Stored:
-        at = (spark.sparkContext.applicationId, sf)
+        at = (spark.sparkContext.applicationId, sf, input_identity(spark, sf))
         if at not in cls._made:
             cls._made[at] = cls(spark, sf)
         return cls._made[at]
@@ -88,7 +96,7 @@ class Stored:
 
     @cached_property
     def _vectorized(self) -> tuple[DataFrame, PipelineModel]:
-        return stages.build_vectors(self.featured, self.ws, vocab_size=QUERY_VOCAB)
+        return stages.build_vectors(self.featured, self.ws)
 
     @property
     def vectors(self) -> DataFrame:
@@ -146,27 +154,33 @@ def s1_csv_scan(spark, sf):
     return corpus.scan_csv(spark, path, corpus.WIDE_SCHEMA)
 
 
-def landed_by_method(spark: SparkSession, sf: str) -> dict[str, str]:
-    """One CSV folder per generation method."""
+@query
+def s1_csv_headers_in_any_order(spark, sf):
+    """Files whose columns stand in different orders, read by name into one table."""
+    root, source = fresh_dir(spark, "csv"), wide(spark, sf).drop("generation_method")
+    for k in range(3):
+        columns = [*source.columns[k:], *source.columns[:k]]
+        corpus.write_wide_csv(source.where(F.col("doc_id") % 3 == k).select(*columns), f"{root}/{k}")
+    return corpus.scan_csv(spark, f"{root}/*", corpus.WIDE_SCHEMA)
+
+
+def landed_by_method(spark: SparkSession, sf: str) -> str:
+    """One CSV folder per generation method, from one write."""
     root = fresh_dir(spark, "landed")
-    source = wide(spark, sf)
-    paths = {method: f"{root}/{method}" for method in corpus.GENERATION_METHODS}
-    for method, path in paths.items():
-        corpus.write_wide_csv(source.where(F.col("generation_method") == method).drop("generation_method"), path)
-    return paths
+    corpus.write_wide_csv(wide(spark, sf), root, partition_by="generation_method")
+    return root
 
 
 @query
 def s2_multi_file_scan(spark, sf):
-    paths = landed_by_method(spark, sf)
-    return corpus.scan_tagged_csv(spark, list(paths.values()), corpus.WIDE_SCHEMA)
+    return corpus.scan_tagged_csv(spark, [f"{landed_by_method(spark, sf)}/*"], corpus.WIDE_SCHEMA)
 
 
 @query
 def s2_scan_per_origin(spark, sf):
-    return corpus.scan_origins(spark, landed_by_method(spark, sf)).select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), "generation_method", corpus.HUMAN_COLUMN
-    )
+    root = landed_by_method(spark, sf)
+    paths = {method: f"{root}/generation_method={method}" for method in corpus.GENERATION_METHODS}
+    return corpus.scan_origins(spark, paths, corpus.WIDE_SCHEMA)
 
 
 @query
@@ -184,7 +198,7 @@ def s4_parquet_sink(spark, sf):
 @query
 def s5_word_count_csv(spark, sf):
     path = fresh_dir(spark, "wordcount")
-    corpus.write_report_csv(counts.top(counts.word_counts(corpus_table(spark, sf)), "word", 30), path)
+    corpus.write_counts_csv(counts.sorted_counts(counts.word_counts(corpus_table(spark, sf)), "word"), path)
     return corpus.read_report_csv(spark, path, "word string, count bigint")
 
 
@@ -304,7 +318,7 @@ def a8_idf(spark, sf):
 def a8_tfidf(spark, sf):
     rows = corpus_table(spark, sf)
     terms = tfidf.with_idf(tfidf.vocabulary(rows), rows)
-    weights = tfidf.tfidf_rows(rows, terms, tfidf.VOCAB_SIZE, *KEY)
+    weights = tfidf.tfidf_rows(rows, terms, *KEY)
     return weights.select(*KEY, "term", "tf", rounded("tfidf").alias("tfidf"))
 
 
@@ -336,7 +350,7 @@ def a13_weighted_f1(spark, sf):
 @query
 def a14_quantiles(spark, sf):
     docs = tables.read_table(spark, sf, "documents", "n_chars")
-    low, high = quantiles.quantiles(docs, "n_chars", quantiles.TRIM)
+    low, high = quantiles.quantiles(docs, ["n_chars"], quantiles.TRIM)["n_chars"]
     return docs.agg(
         F.count("n_chars").alias("n_values"), F.lit(low).alias("q01"), F.lit(high).alias("q99")
     ).select("n_values", rounded("q01").alias("q01"), rounded("q99").alias("q99"))
@@ -476,6 +490,13 @@ def f6_tokens(spark, sf):
     )
 
 
+@query
+def f6_stream_tokens(spark, sf):
+    """Tokens by the rule for live text: question marks stay, and the stop list is longer."""
+    rows = tx.prepare(long(spark, sf), ARABIC_STREAM)
+    return rows.select(*KEY, F.size("tokens").cast("bigint").alias("n_tokens"), F.array_join("tokens", " ").alias("tokens"))
+
+
 @query
 def f7a_avg_word_length(spark, sf):
     return prepared(spark, sf).select(*KEY, rounded(tx.average_word_length(F.col("tokens"))).alias("avg_word_length"))
@@ -542,11 +563,12 @@ def m2_idf(spark, sf):
 
 
 def _vector_summary(df: DataFrame, column: str) -> DataFrame:
-    values = F.col("v")
-    return df.select(*KEY, vector_to_array(column).alias("v")).select(
+    """Entries other than zero, and their sum; sparse vectors stay sparse."""
+    values = F.col("v")["values"]
+    return df.select(*KEY, F.unwrap_udt(column).alias("v")).select(
         *KEY,
         F.size(F.filter(values, lambda x: x != 0)).alias("n_terms"),
-        rounded(F.aggregate(values, F.lit(0.0), lambda a, x: a + x)).alias("total"),
+        F.round(F.aggregate(values, F.lit(0.0), lambda a, x: a + x), 4).alias("total"),
     )
 
 
@@ -570,6 +592,34 @@ def m5_random_forest(spark, sf):
     return Stored.get(spark, sf).scores(classify.RANDOM_FOREST)
 
 
+def _reloaded(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """Rows per split and class, and on how many of them the saved and reloaded model,
+    run on the feature rows, differs from the fitted one, run on the stored vectors."""
+    stored = Stored.get(spark, sf)
+    key = stages.row_key(stored.vectors)
+    fitted = classify.score_all(stored.vectors, stored.models(name), *key, "split", "label_index")
+    again = classify.score(stored.featured, corpus.load_model(stored.ws.model(name)), *key)
+    both = fitted.join(again.withColumnRenamed("prediction", "reloaded"), key, "left")
+    return both.groupBy(F.col("split").cast("string").alias("split"), "label_index").agg(
+        F.count("*").alias("n_rows"), F.count_if(~F.col("prediction").eqNullSafe(F.col("reloaded"))).alias("n_differ")
+    )
+
+
+@query
+def m3_m6_s9_s10_logistic_regression(spark, sf):
+    return _reloaded(spark, sf, classify.LOGISTIC_REGRESSION)
+
+
+@query
+def m4_m6_s9_s10_linear_svm(spark, sf):
+    return _reloaded(spark, sf, classify.LINEAR_SVM)
+
+
+@query
+def m5_m6_s9_s10_random_forest(spark, sf):
+    return _reloaded(spark, sf, classify.RANDOM_FOREST)
+
+
 @query
 def m6_batch_scoring(spark, sf):
     """Raw feature rows of the test split through the saved and reloaded SVM."""
@@ -609,8 +659,7 @@ def _embedding_plane(spark: SparkSession, sf: str) -> DataFrame:
         array_to_vector(F.col("embedding").cast("array<double>")).alias("features"),
         (F.col("label") >= 5).cast("int").alias("label_index"),
     )
-    width = rows.head().features.size
-    return projection.project(rows, projection.fit_pca(rows, width), "vec_id")
+    return projection.project(rows, projection.fit_components(rows), "vec_id")
 
 
 @query
@@ -618,6 +667,14 @@ def m7_pca(spark, sf):
     return _embedding_plane(spark, sf)
 
 
+@query
+def m7_projected_rows(spark, sf):
+    """Every vector has a finite point and the class of its label."""
+    plane = _embedding_plane(spark, sf)
+    finite = [F.coalesce(F.abs(c) < float("inf"), F.lit(False)) for c in ("PC1", "PC2")]
+    return plane.select("vec_id", "label_index", "Class", (finite[0] & finite[1]).alias("has_point"))
+
+
 @query
 def p8_vector_element(spark, sf):
     vector = array_to_vector(F.col("embedding").cast("array<double>"))
@@ -628,70 +685,101 @@ def p8_vector_element(spark, sf):
     )
 
 
+def _stored_points(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    plane = corpus.write_table(_embedding_plane(spark, sf), fresh_dir(spark, "plane"))
+    return plane, corpus.write_table(projection.plot_points(plane, "vec_id"), fresh_dir(spark, "points"))
+
+
 @query
 def m8_boundary(spark, sf):
-    points = projection.plot_points(_embedding_plane(spark, sf), "vec_id")
-    points = corpus.write_table(points, fresh_dir(spark, "points"))
+    _, points = _stored_points(spark, sf)
     return projection.boundary_line(points, projection.fit_boundary(points))
 
 
+@query
+def m8_boundary_residuals(spark, sf):
+    """How far the three lines are from the levels 0, 1 and -1 of the classifier."""
+    _, points = _stored_points(spark, sf)
+    model = projection.fit_boundary(points)
+    w0, w1 = (float(c) for c in model.coefficients)
+    line = projection.boundary_line(points, model)
+
+    def residual(y: str, level: float) -> Column:
+        return F.round(F.abs(F.lit(w0) * F.col("x") + F.lit(w1) * F.col(y) + F.lit(float(model.intercept) - level)), 6)
+
+    levels = {"y": 0.0, "y_upper": 1.0, "y_lower": -1.0}
+    return line.select("point", *[residual(y, level).alias(f"off_{y}") for y, level in levels.items()])
+
+
 @query
 def m9_plot_points(spark, sf):
-    plane = corpus.write_table(_embedding_plane(spark, sf), fresh_dir(spark, "plane"))
-    return projection.plot_points(plane, "vec_id")
+    return _stored_points(spark, sf)[1]
+
+
+@query
+def m9_points_kept(spark, sf):
+    """Points that are unknown, drawn twice, or outside the quantiles of either axis: none."""
+    plane, points = _stored_points(spark, sf)
+    bounds = quantiles.quantiles(plane, ["PC1", "PC2"], quantiles.TRIM)
+    outside = [~F.col(c).between(*ends) for c, ends in bounds.items()]
+    known = points.join(plane.select("vec_id", F.lit(1).alias("known")), "vec_id", "left")
+    return known.agg(
+        F.count_if(F.col("known").isNull()).alias("n_unknown"),
+        (F.count("*") - F.count_distinct("vec_id")).alias("n_repeated"),
+        F.count_if(outside[0] | outside[1]).alias("n_outside"),
+    )
 
 
 @query
 def m7_m9_corpus_projection(spark, sf):
     stored = Stored.get(spark, sf)
-    return stages.build_projection(stored.vectors, stored.features, stored.ws)[0]
+    return stages.build_projection(stored.vectors, stored.ws)[0]
 
 
 # -- streams ------------------------------------------------------------------------------------------------------
 
 
 def landed_lines(spark: SparkSession, sf: str) -> str:
-    """The human texts as a folder of text files, one line per line of text."""
+    """The texts of all five authors as a folder of text files, one line per line of text."""
     path = fresh_dir(spark, "lines")
-    wide(spark, sf).select("original_abstract").write.text(path)
+    long(spark, sf).select(F.coalesce("text", F.lit(""))).write.text(path)
     return path
 
 
-def streamed_features(spark: SparkSession, sf: str, **read) -> DataFrame:
-    lines = scoring.read_lines(spark, landed_lines(spark, sf), **read)
-    out = fresh_dir(spark, "streamed")
-    scoring.write_to_table(scoring.featured_lines(lines), out, f"{out}-checkpoint").awaitTermination()
-    return spark.read.parquet(out)
+def streamed(stream: DataFrame, out: str) -> DataFrame:
+    """What a stream appends to a table until its source is read."""
+    scoring.finish(scoring.write_to_table(stream, out, f"{out}-checkpoint"))
+    return stream.sparkSession.read.schema(stream.schema).parquet(out)
 
 
 @query
 def s7_text_stream(spark, sf):
     """The lines themselves, read as a stream a few files at a time."""
-    out = fresh_dir(spark, "lines-read")
     lines = scoring.read_lines(spark, landed_lines(spark, sf), max_files_per_trigger=4)
-    scoring.write_to_table(lines, out, f"{out}-checkpoint").awaitTermination()
-    return spark.read.schema("value string").parquet(out)
+    return streamed(lines, fresh_dir(spark, "lines-read"))
 
 
 @query
 def s8_batch_sink(spark, sf):
     """Clean lines through the per-batch sink, read back over all batches."""
     out = fresh_dir(spark, "batches")
-    lines = scoring.featured_lines(scoring.read_lines(spark, landed_lines(spark, sf), max_files_per_trigger=4))
-    scoring.write_batches(lines.select("text", "clean_text"), out, f"{out}-checkpoint").awaitTermination()
-    return spark.read.parquet(out).select("text", "clean_text")
+    lines = scoring.read_lines(spark, landed_lines(spark, sf), max_files_per_trigger=4)
+    clean = tx.prepare(lines.withColumnRenamed("value", "text")).select("text", "clean_text")
+    scoring.finish(scoring.write_batches(clean, out, f"{out}-checkpoint"))
+    return spark.read.schema(clean.schema).option("recursiveFileLookup", True).parquet(out)
 
 
 @query
 def x1_stream_lines(spark, sf):
     """Lines as they arrive, blank ones included, and how often each occurs."""
-    return counts.group_count(streamed_features(spark, sf), "text")
+    lines = scoring.read_lines(spark, landed_lines(spark, sf)).select(F.col("value").alias("text"))
+    return counts.group_count(streamed(lines, fresh_dir(spark, "arrived")), "text")
 
 
 @query
 def x2_stream_features(spark, sf):
-    rows = streamed_features(spark, sf)
-    return rows.select(
+    lines = scoring.featured_lines(scoring.read_lines(spark, landed_lines(spark, sf)))
+    return streamed(lines, fresh_dir(spark, "featured")).select(
         "text",
         "clean_text",
         F.size("tokens").cast("bigint").alias("n_tokens"),
@@ -702,46 +790,83 @@ def x2_stream_features(spark, sf):
 _DOUBLE_FEATURES = ("feature_10_avg_word_length", "feature_90_entity_diversity")
 
 
-@query
-def x3_stream_scoring(spark, sf):
+def _scored_stream(spark: SparkSession, sf: str) -> DataFrame:
     stored = Stored.get(spark, sf)
     stored.models(classify.LINEAR_SVM)
     model = corpus.load_model(stored.ws.model(classify.LINEAR_SVM))
     lines = scoring.read_lines(spark, landed_lines(spark, sf), max_files_per_trigger=4)
-    out = fresh_dir(spark, "scored")
-    scored = scoring.scored_lines(scoring.featured_lines(lines), model)
-    scoring.write_to_table(scored, out, f"{out}-checkpoint").awaitTermination()
-    return spark.read.parquet(out)
+    return streamed(scoring.scored_lines(scoring.featured_lines(lines), model), fresh_dir(spark, "scored"))
+
+
+@query
+def x3_stream_scoring(spark, sf):
+    return _scored_stream(spark, sf)
+
+
+@query
+def x3_stream_equals_batch(spark, sf):
+    """Streamed lines, the different ones among them, and on how many of these the stream
+    scored otherwise than the fitted model does in batch."""
+    live = _scored_stream(spark, sf).groupBy("text").agg(
+        F.count("*").alias("n"), F.min("prediction").alias("low"), F.max("prediction").alias("high")
+    )
+    live = corpus.write_table(live, fresh_dir(spark, "scored-lines"))
+    model = Stored.get(spark, sf).models(classify.LINEAR_SVM)[classify.LINEAR_SVM]
+    batch = classify.score(tx.add_style_features(tx.prepare(live.select("text"))), model, "text")
+    both = live.join(batch, "text", "left")
+    differs = ~(F.col("low").eqNullSafe(F.col("prediction")) & F.col("high").eqNullSafe(F.col("prediction")))
+    return both.agg(F.sum("n").alias("n_lines"), F.count("*").alias("n_texts"), F.count_if(differs).alias("n_differ"))
 
 
 @query
 def x4_x5_interval_append(spark, sf):
-    """Append mode on a processing-time trigger, stopped once the files are read."""
+    """Append mode on a processing-time trigger, stopped once the files are read: lines by length."""
     out = fresh_dir(spark, "interval")
-    lines = scoring.featured_lines(scoring.read_lines(spark, landed_lines(spark, sf)))
-    running = scoring.write_to_table(lines.select("text"), out, f"{out}-checkpoint", interval="1 second")
+    lines = scoring.read_lines(spark, landed_lines(spark, sf)).select(F.length("value").alias("n_chars"))
+    running = scoring.write_to_table(lines, out, f"{out}-checkpoint", interval="1 second")
     try:
         running.processAllAvailable()
     finally:
         running.stop()
-    return counts.group_count(spark.read.parquet(out), "text")
+    return counts.group_count(spark.read.schema(lines.schema).parquet(out), "n_chars")
 
 
 @query
 def x6_stream_restart(spark, sf):
     """One checkpoint started once per landing of files; each line counts once."""
-    source = wide(spark, sf)
+    source = long(spark, sf)
     landing, out = fresh_dir(spark, "landing"), fresh_dir(spark, "restarted")
     for method in corpus.GENERATION_METHODS:
-        arriving = source.where(F.col("generation_method") == method).select("original_abstract")
-        arriving.write.mode("append").text(landing)
-        lines = scoring.featured_lines(scoring.read_lines(spark, landing))
-        scoring.write_to_table(lines, out, f"{out}-checkpoint").awaitTermination()
-    return counts.group_count(spark.read.parquet(out), "text")
+        arriving = source.where(F.col("generation_method") == method)
+        arriving.select(F.coalesce("text", F.lit(""))).write.mode("append").text(landing)
+        lines = scoring.read_lines(spark, landing).select(F.col("value").alias("text"))
+        rows = streamed(lines, out)
+    return counts.group_count(rows, "text")
+
+
+def _arrivals(spark: SparkSession, sf: str) -> DataFrame:
+    """Arrival time and micro-batch of every line."""
+    out = fresh_dir(spark, "arrivals")
+    lines = scoring.read_lines(spark, landed_lines(spark, sf), max_files_per_trigger=2)
+    timed = lines.select(F.current_timestamp().alias("processing_time"))
+    scoring.finish(scoring.write_batches(timed, out, f"{out}-checkpoint"))
+    return spark.read.schema(f"{timed.schema.simpleString()[7:-1].replace(':', ' ')}, batch_id bigint").parquet(out)
 
 
 @query
 def f11_processing_time(spark, sf):
     """Rows per processing time: one time per micro-batch."""
-    rows = streamed_features(spark, sf, max_files_per_trigger=2)
-    return counts.group_count(rows, "processing_time")
+    return counts.group_count(_arrivals(spark, sf), "processing_time")
+
+
+@query
+def f11_one_time_per_batch(spark, sf):
+    """All lines, those without an arrival time, and micro-batches with more than one time."""
+    batches = _arrivals(spark, sf).groupBy("batch_id").agg(
+        F.count("*").alias("n"),
+        F.count_if(F.col("processing_time").isNull()).alias("n_null"),
+        F.count_distinct("processing_time").alias("n_times"),
+    )
+    return batches.agg(
+        F.sum("n").alias("n_lines"), F.sum("n_null").alias("n_without_time"), F.count_if(F.col("n_times") > 1).alias("n_mixed_batches")
+    )

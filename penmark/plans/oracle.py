@@ -164,8 +164,8 @@ SELECT model AS "Model", round(accuracy, 6) AS "Accuracy", round(f1, 6) AS "F1-S
 FROM cells JOIN scored USING (model) JOIN acc USING (model)"""
 
 # Text files are cut at line feeds.
-LINES = f"""{WIDE},
-lines AS (SELECT unnest(string_split(original_abstract, chr(10))) AS text FROM wide)"""
+LINES = f"""{LONG},
+lines AS (SELECT unnest(string_split(coalesce(text, ''), chr(10))) AS text FROM corpus)"""
 LINE_COUNT = f"WITH {LINES} SELECT text, count(*)::BIGINT AS count FROM lines GROUP BY text"
 
 WIDE_TEXTS = (
@@ -190,6 +190,37 @@ BUCKET = "('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT % 100"
 SPLIT = f"CASE WHEN {BUCKET} < 70 THEN 'train' WHEN {BUCKET} < 85 THEN 'validation' ELSE 'test' END"
 
 
+STYLE = (
+    "feature_10_avg_word_length",
+    "feature_30_question_marks",
+    "feature_50_prepositions",
+    "feature_70_first_person",
+    "feature_90_entity_diversity",
+)
+
+# Vocabulary and weights of the training rows, and what they make of every row.
+TRAINED = f"""{WORDS},
+tf AS (SELECT doc_id, generator, word AS term, count(*) AS tf FROM w GROUP BY ALL),
+train AS (SELECT * FROM tf WHERE {SPLIT} = 'train'),
+vocab AS (
+  SELECT term, count(*)::BIGINT AS df FROM train GROUP BY term
+  HAVING count(*) >= {MIN_DF} ORDER BY sum(tf) DESC, term LIMIT {VOCAB_SIZE}),
+idf AS (SELECT term, ln(((SELECT count(*) FROM prepared WHERE {SPLIT} = 'train') + 1)::DOUBLE / (df + 1)) AS idf FROM vocab),
+sums AS (
+  SELECT doc_id, generator, count(*) AS n_tf, sum(tf)::DOUBLE AS total_tf,
+    count(*) FILTER (tf * idf <> 0) AS n_tfidf, sum(tf * idf) AS total_tfidf
+  FROM tf JOIN idf USING (term) GROUP BY ALL),
+vectors AS (
+  SELECT doc_id, generator, coalesce(n_tf, 0) AS n_tf, coalesce(total_tf, 0) AS total_tf,
+    coalesce(n_tfidf, 0) AS n_tfidf, coalesce(total_tfidf, 0) AS total_tfidf
+  FROM prepared LEFT JOIN sums USING (doc_id, generator))"""
+
+STREAM_PREPARED = (
+    f"cleaned AS (SELECT *, {clean(kept=chr(92) + 'x{0600}-' + chr(92) + 'x{06FF}?')} AS clean_text FROM corpus),\n"
+    f"prepared AS (SELECT *, {tokens(lx.STREAM_STOP_WORDS)} AS tokens FROM cleaned)"
+)
+
+
 def _per_row(name: str, expression: str, source: str = LONG, table: str = "corpus") -> str:
     return f"WITH {source} SELECT doc_id, generator, {expression} AS {name} FROM {table}"
 
@@ -198,10 +229,11 @@ SQL: dict[str, str] = {
     # sources and sinks
     "s1_csv_scan": f"WITH {WIDE} SELECT {WIDE_TEXTS} FROM wide",
     "s2_multi_file_scan": f"WITH {WIDE} SELECT {WIDE_TEXTS}, generation_method FROM wide",
-    "s2_scan_per_origin": f"WITH {WIDE} SELECT doc_id, generation_method, original_abstract FROM wide",
+    "s2_scan_per_origin": f"WITH {WIDE} SELECT {WIDE_TEXTS}, generation_method FROM wide",
+    "s1_csv_headers_in_any_order": f"WITH {WIDE} SELECT {WIDE_TEXTS} FROM wide",
     "s3_parquet_scan": "SELECT doc_id, lang, source, n_chars FROM documents",
     "s4_parquet_sink": f"WITH {LONG} SELECT *, {SPLIT} AS split FROM corpus",
-    "s5_word_count_csv": f"WITH {WORD_COUNT} SELECT * FROM c ORDER BY count DESC, word LIMIT 30",
+    "s5_word_count_csv": f"WITH {WORD_COUNT} SELECT * FROM c",
     "s6_metrics_csv": f"WITH {COMPARISON}",
     "s11_profile": _profile(),
     # projections and reshape
@@ -295,6 +327,8 @@ SQL: dict[str, str] = {
     "f5_clean_text": _per_row("clean_text", "clean_text", PREPARED, "prepared"),
     "f6_tokens": f"WITH {PREPARED} SELECT doc_id, generator, len(tokens)::BIGINT AS n_tokens,"
     " array_to_string(tokens, ' ') AS tokens FROM prepared",
+    "f6_stream_tokens": f"WITH {LONG},\n{STREAM_PREPARED} SELECT doc_id, generator, len(tokens)::BIGINT AS n_tokens,"
+    " array_to_string(tokens, ' ') AS tokens FROM prepared",
     "f7a_avg_word_length": _per_row("avg_word_length", f"round({AVG_WORD}, 6)", PREPARED, "prepared"),
     "f7b_question_marks": _per_row("question_marks", QUESTIONS),
     "f7c_prepositions": _per_row("prepositions", listed(lx.PREPOSITIONS), PREPARED, "prepared"),
@@ -309,7 +343,27 @@ SQL: dict[str, str] = {
     "s7_text_stream": f"WITH {LINES} SELECT text AS value FROM lines",
     "s8_batch_sink": f"WITH {LINES},\n{prepared('lines')} SELECT text, clean_text FROM prepared",
     "x1_stream_lines": LINE_COUNT,
-    "x4_x5_interval_append": LINE_COUNT,
+    "x4_x5_interval_append": f"WITH {LINES} SELECT length(text)::INTEGER AS n_chars, count(*)::BIGINT AS count FROM lines GROUP BY ALL",
+    "x3_stream_equals_batch": f"WITH {LINES} SELECT count(*)::BIGINT AS n_lines, count(DISTINCT text)::BIGINT AS n_texts,"
+    " 0::BIGINT AS n_differ FROM lines",
+    "f11_one_time_per_batch": f"WITH {LINES} SELECT count(*)::BIGINT AS n_lines, 0::BIGINT AS n_without_time,"
+    " 0::BIGINT AS n_mixed_batches FROM lines",
+    # models: SQL knows the vectors, and which rows there are; that models differ nowhere is 0
+    "m1_count_vectorizer": f"WITH {TRAINED} SELECT doc_id, generator, n_tf::INTEGER AS n_terms, round(total_tf, 4) AS total FROM vectors",
+    "m2_idf": f"WITH {TRAINED} SELECT doc_id, generator, n_tfidf::INTEGER AS n_terms, round(total_tfidf, 4) AS total FROM vectors",
+    "p7_assembled_vectors": f"WITH {TRAINED},\n{featured()} SELECT doc_id, generator,"
+    f" (n_tfidf + {' + '.join(f'({c} <> 0)::INT' for c in STYLE)})::INTEGER AS n_terms,"
+    f" round(total_tfidf + {' + '.join(STYLE)}, 4) AS total FROM vectors JOIN featured USING (doc_id, generator)",
+    **{
+        name: f"WITH {LONG} SELECT {SPLIT} AS split, (label = 'ai')::INTEGER AS label_index, count(*)::BIGINT AS n_rows,"
+        " 0::BIGINT AS n_differ FROM corpus GROUP BY ALL"
+        for name in ("m3_m6_s9_s10_logistic_regression", "m4_m6_s9_s10_linear_svm", "m5_m6_s9_s10_random_forest")
+    },
+    "m7_projected_rows": "SELECT vec_id, (label >= 5)::INTEGER AS label_index,"
+    " CASE WHEN label >= 5 THEN 'AI' ELSE 'Human' END AS \"Class\", true AS has_point FROM embeddings",
+    "m8_boundary_residuals": "SELECT range AS point, 0::DOUBLE AS off_y, 0::DOUBLE AS off_y_upper, 0::DOUBLE AS off_y_lower"
+    " FROM range(200)",
+    "m9_points_kept": "SELECT 0::BIGINT AS n_unknown, 0::BIGINT AS n_repeated, 0::BIGINT AS n_outside",
     "x2_stream_features": f"WITH {LINES},\n{prepared('lines')},\n{featured()}"
     " SELECT text, clean_text, len(tokens)::BIGINT AS n_tokens,"
     " round(feature_10_avg_word_length, 6) AS feature_10_avg_word_length, feature_30_question_marks,"

@@ -23,22 +23,18 @@ from penmark.operators.classify import (
     with_class_weight,
 )
 from penmark.operators.evaluation import compare_models
-from penmark.operators.projection import (
-    DEFAULT_TERMS,
-    MAX_WIDTH,
-    boundary_line,
-    fit_boundary,
-    fit_pca,
-    narrow_features,
-    plot_points,
-    project,
-)
+from penmark.operators.projection import boundary_line, fit_boundary, fit_components, plot_points, project
 from penmark.operators.reshape import label_index, to_long
 from penmark.operators.sampling import SPLITS, with_split
 from penmark.operators.tfidf import MIN_DF, VOCAB_SIZE
 from penmark.sources.corpus import load_model, read_report_csv, save_model, write_report_csv, write_table
 
-ROW_KEY = ("doc_id", "generation_method", "generator")
+ROW_KEY = ("doc_id", "row_key", "generation_method", "generator")
+
+
+def row_key(df: DataFrame) -> list[str]:
+    """The columns that tell the rows of a corpus apart; derived corpora have no ``row_key``."""
+    return [c for c in ROW_KEY if c in df.columns]
 
 
 @dataclass(frozen=True)
@@ -97,7 +93,7 @@ def build_vectors(
     scope = features if fit_scope == "all" else features.where(F.col("split") == SPLITS[0])
     model = fit_features(scope, vocab_size, min_df)
     save_model(model, ws.model("features"))
-    vectors = vectorized(features, model, *ROW_KEY, "split")
+    vectors = vectorized(features, model, *row_key(features), "split")
     return write_table(vectors, ws.table("vectors"), partition_by="split"), model
 
 
@@ -129,7 +125,7 @@ def load_models(ws: Workspace, names: tuple[str, ...] = tuple(CLASSIFIER_SETTING
 
 
 def predictions(vectors: DataFrame, models: dict[str, PipelineModel], split: str) -> DataFrame:
-    return score_all(split_of(vectors, split), models, *ROW_KEY, "label_index")
+    return score_all(split_of(vectors, split), models, *row_key(vectors), "label_index")
 
 
 def store_predictions(
@@ -149,24 +145,11 @@ def report_comparison(scored: DataFrame, ws: Workspace) -> DataFrame:
     return read_report_csv(scored.sparkSession, path, METRICS)
 
 
-def vector_width(features: PipelineModel) -> int:
-    """Columns of the assembled vector: vocabulary plus stylometric columns."""
-    return len(features.stages[0].vocabulary) + len(features.stages[-1].getInputCols()) - 1
-
-
-def build_projection(
-    vectors: DataFrame,
-    features: PipelineModel,
-    ws: Workspace,
-    split: str = SPLITS[2],
-    terms: int = DEFAULT_TERMS,
-    max_width: int = MAX_WIDTH,
-) -> tuple[DataFrame, DataFrame]:
-    """Plot points and boundary line of one split, from its most frequent ``terms``."""
-    narrow, width = narrow_features(split_of(vectors, split), vector_width(features), terms)
-    model = fit_pca(narrow, width, max_width=max_width)
-    projected = write_table(project(narrow, model, *ROW_KEY), ws.table("projection"))
-    points = write_table(plot_points(projected, *ROW_KEY), ws.table("plot_points"))
+def build_projection(vectors: DataFrame, ws: Workspace, split: str = SPLITS[2]) -> tuple[DataFrame, DataFrame]:
+    """Plot points and boundary line of one split, from its whole vectors."""
+    rows, key = split_of(vectors, split), row_key(vectors)
+    projected = write_table(project(rows, fit_components(rows), *key), ws.table("projection"))
+    points = write_table(plot_points(projected, *key), ws.table("plot_points"))
     line = write_table(boundary_line(points, fit_boundary(points)), ws.table("plot_line"))
     return points, line
 

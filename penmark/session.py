@@ -12,6 +12,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Wide shuffles, of which AQE merges what is too small for a task of its own.
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4096",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.showConsoleProgress": "false",
 }

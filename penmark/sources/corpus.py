@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import csv
+import re
 from functools import reduce
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,24 +27,65 @@ WIDE_SCHEMA = T.StructType(
 )
 
 
-def scan_csv(spark: SparkSession, paths: str | list[str], schema: T.StructType | None = None) -> DataFrame:
+def csv_headers(spark: SparkSession, paths: str | list[str]) -> dict[tuple[str, ...], list[str]]:
+    """The files of each distinct header. The driver reads the first line of every file."""
+    jvm, found = spark._jvm, {}
+    conf = spark._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+    for path in [paths] if isinstance(paths, str) else paths:
+        root = jvm.org.apache.hadoop.fs.Path(path)
+        fs = root.getFileSystem(conf)
+        matched = fs.globStatus(root)
+        if not matched:
+            raise FileNotFoundError(path)
+        for top in matched:
+            files = fs.listFiles(top.getPath(), True)
+            base = top.getPath().toString()
+            while files.hasNext():
+                file = files.next().getPath()
+                # Hidden files and folders are not data.
+                if re.search(r"/[._]", file.toString().removeprefix(base)):
+                    continue
+                codec = codecs.getCodec(file)
+                stream = fs.open(file)
+                try:
+                    content = codec.createInputStream(stream) if codec else stream
+                    line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(content, "UTF-8")).readLine()
+                finally:
+                    stream.close()
+                if line is not None:
+                    header = tuple(next(csv.reader([line.removeprefix("\ufeff")])))
+                    found.setdefault(header, []).append(file.toString())
+    return found
+
+
+def scan_csv(
+    spark: SparkSession, paths: str | list[str], schema: T.StructType | None = None, origin: Column | None = None
+) -> DataFrame:
     """RFC 4180 CSV with doubled quotes and line breaks inside fields.
 
-    Without ``schema`` the header names the columns and all are strings, which
-    costs one look at the first record instead of an inference pass. A file
-    whose fields hold line breaks cannot be split, so land large corpora as
-    many files.
+    Columns are matched by the name in each file's own header, in whatever order they
+    stand there: files are scanned once per distinct header. Without ``schema`` all
+    columns are strings, and columns that some files lack are null there; with it the
+    headers must have its names. A file whose fields hold line breaks cannot be split,
+    so land large corpora as many files. ``origin``, an expression over ``_metadata``, is
+    added as ``generation_method``.
     """
-    reader = (
-        spark.read.option("header", True)
-        .option("multiLine", True)
-        .option("quote", '"')
-        .option("escape", '"')
-    )
-    if schema is not None:
-        # Compare the header with the schema instead of trusting positions.
-        reader = reader.schema(schema).option("enforceSchema", False)
-    return reader.csv(paths)
+    types = {f.name: f.dataType for f in schema} if schema else {}
+    parts = []
+    for header, files in sorted(csv_headers(spark, paths).items()):
+        if schema and set(header) != set(types):
+            raise ValueError(f"the header {', '.join(header)} of {files[0]} does not have the columns {', '.join(types)}")
+        own = T.StructType([T.StructField(name, types.get(name, T.StringType())) for name in header])
+        # Spark compares every file's header with the schema instead of trusting positions.
+        reader = spark.read.schema(own).option("enforceSchema", False).option("header", True)
+        part = reader.option("multiLine", True).option("quote", '"').option("escape", '"').csv(files)
+        parts.append(part.withColumn("generation_method", origin) if origin is not None else part)
+    if not parts:
+        parts = [spark.createDataFrame([], schema or T.StructType([]))]
+    rows = union_all(parts, allow_missing=True)
+    order = [*(schema.names if schema else rows.columns)]
+    return rows.select(*order, *[c for c in rows.columns if c not in order])
 
 
 def scan_origins(spark: SparkSession, paths: dict[str, str], schema: T.StructType | None = None) -> DataFrame:
@@ -54,23 +97,24 @@ def scan_origins(spark: SparkSession, paths: dict[str, str], schema: T.StructTyp
     return union_all(parts, allow_missing=True)
 
 
-def scan_tagged_csv(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
-    """One scan over all files; the origin is the folder or file name after the last slash."""
-    tag = "/(" + "|".join(GENERATION_METHODS) + r")(?:\.csv|/[^/]*)$"
-    return scan_csv(spark, paths, schema).withColumn(
-        "generation_method", F.regexp_extract(F.col("_metadata.file_path"), tag, 1)
-    )
+def scan_tagged_csv(spark: SparkSession, paths: list[str], schema: T.StructType | None = None) -> DataFrame:
+    """One scan over all files; the origin is the name of a file or of a folder above it.
+
+    Reading a file under none of the known names is an error.
+    """
+    path = F.col("_metadata.file_path")
+    tag = "/(?:generation_method=)?(" + "|".join(GENERATION_METHODS) + r")(?:\.csv|/[^/]*)$"
+    unknown = F.raise_error(F.concat(F.lit("no generation method is named by "), path)).cast("string")
+    return scan_csv(spark, paths, schema, F.coalesce(F.nullif(F.regexp_extract(path, tag, 1), F.lit("")), unknown))
 
 
-def balance(df: DataFrame) -> DataFrame:
-    """Spread a scan over the cores when it has fewer splits than there are cores.
+def spread(df: DataFrame, partitions: int | None) -> DataFrame:
+    """Deal a scan of few splits over ``partitions`` tasks; None leaves it as it is.
 
-    A small file, or a CSV file that cannot be split, is one split, and a single
-    task would do all its text work. A scan with enough splits is left alone.
-    Give it a scan: counting the partitions of a shuffle would run the shuffle.
+    A CSV file with line breaks in its fields is one split, and a single task would do
+    all its text work. Dealing costs one shuffle of the rows.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    return df.repartition(partitions) if partitions else df
 
 
 def union_all(frames: list[DataFrame], allow_missing: bool = False) -> DataFrame:
@@ -86,9 +130,12 @@ def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> Da
     return df.sparkSession.read.parquet(path)
 
 
-def write_wide_csv(df: DataFrame, path: str) -> None:
+def write_wide_csv(df: DataFrame, path: str, partition_by: str | None = None) -> None:
+    writer = df.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
     (
-        df.write.mode("overwrite")
+        writer
         .option("header", True)
         .option("quote", '"')
         .option("escape", '"')
@@ -103,8 +150,13 @@ def write_report_csv(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").csv(path, header=True)
 
 
+def write_counts_csv(counts: DataFrame, path: str) -> None:
+    """All counts as CSV, in order over many files: a whole vocabulary does not fit one task."""
+    counts.write.mode("overwrite").csv(path, header=True, escape='"')
+
+
 def read_report_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.csv(path, header=True, schema=schema)
+    return spark.read.csv(path, header=True, schema=schema, escape='"')
 
 
 def save_model(model: PipelineModel, path: str) -> None:

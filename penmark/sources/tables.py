@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from penmark.sources.corpus import GENERATION_METHODS, balance
+from penmark.sources.corpus import GENERATION_METHODS, spread
 
 # Fixed values of the derived corpus, shared with the SQL in plans/oracle.py.
 MARKER_WORDS = ("في", "منذ", "انا", "جامعة", "على", "خلا", "نحن", "مركز", "حاشا", "؟")
@@ -20,9 +20,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> Da
     return table.select(*columns) if columns else table
 
 
-def wide_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``documents`` as a wide corpus in Arabic script: one text column per author."""
-    docs = balance(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+def wide_corpus(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
+    """``documents`` as a wide corpus in Arabic script: one text column per author.
+
+    ``partitions`` deals a table of few splits over that many tasks first.
+    """
+    docs = spread(read_table(spark, sf_dir, "documents", "doc_id", "text"), partitions)
 
     def marker(m: int, o: int) -> Column:
         position = ((F.col("doc_id") * m + o) % len(MARKER_WORDS) + 1).cast("int")

@@ -17,6 +17,8 @@ def spark(tmp_path_factory):
         master="local[4]",
         **{
             "spark.sql.shuffle.partitions": "8",
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8",
+            "penmark.scanPartitions": "4",
             "spark.driver.memory": "8g",
             "spark.ui.enabled": "false",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),

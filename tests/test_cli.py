@@ -30,7 +30,7 @@ def test_every_step_from_raw_files_to_scored_stream(spark, raw, tmp_path, monkey
     cli.main(["explore", "--raw", raw])
     cli.main(["prepare", "--raw", raw, "--workspace", ws])
     cli.main(["eda", "--workspace", ws])
-    cli.main(["word-count", "--workspace", ws, "--top", "5", "--all"])
+    cli.main(["word-count", "--workspace", ws, "--top", "5"])
     cli.main(["features", "--workspace", ws])
     cli.main(["vectors", "--workspace", ws, "--vocab-size", "30"])
     cli.main(["train", "--workspace", ws])
@@ -41,7 +41,7 @@ def test_every_step_from_raw_files_to_scored_stream(spark, raw, tmp_path, monkey
         assert f"== {title}" in shown
     assert spark.read.parquet(f"{ws}/tables/corpus").count() == 5 * 180
     assert sorted(os.listdir(f"{ws}/tables/vectors"))[-3:] == ["split=test", "split=train", "split=validation"]
-    assert spark.read.csv(f"{ws}/reports/word_count_all", header=True).count() > 5
+    assert spark.read.csv(f"{ws}/reports/word_count", header=True).count() > 5
 
     inbox = tmp_path / "inbox"
     inbox.mkdir()

@@ -1,6 +1,9 @@
+import numpy as np
 import pytest
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from penmark.operators import classify, evaluation, projection, tfidf
 from penmark.plans import catalog, stages
@@ -15,9 +18,10 @@ def fitted(spark, sf):
 
 
 def test_vectors_hold_vocabulary_and_style(fitted):
-    width = stages.vector_width(fitted.features)
-    assert width == catalog.QUERY_VOCAB + 5
-    assert fitted.vectors.first().features.size == width
+    terms = len(fitted.features.stages[0].vocabulary)
+    train = stages.split_of(fitted.featured, "train")
+    assert terms == min(tfidf.VOCAB_SIZE, tfidf.term_statistics(train).where(f"df >= {tfidf.MIN_DF}").count())
+    assert fitted.vectors.first().features.size == terms + 5
 
 
 def test_only_training_rows_shape_the_features(spark, fitted):
@@ -50,7 +54,7 @@ def test_saved_models_score_alike(spark, fitted):
 
 def test_vectors_and_raw_rows_score_alike(spark, fitted):
     models = fitted.models(*SMALL)
-    keep = (*stages.ROW_KEY, "label_index")
+    keep = (*stages.row_key(fitted.vectors), "label_index")
     from_vectors = stages.predictions(fitted.vectors, models, "test")
     from_rows = classify.score_each(stages.split_of(fitted.featured, "test"), models, *keep)
     columns = [*keep, "model", "prediction"]
@@ -73,11 +77,11 @@ def test_training_separates_a_marked_corpus(spark, tmp_path):
     assert spark.read.csv(ws.report("model_comparison_results"), header=True).count() == 3
 
 
-def test_class_weights_balance(spark, fitted):
+def test_class_weights_balance(spark, fitted, tmp_path):
     weighted = classify.with_class_weight(stages.split_of(fitted.vectors, "train"))
     totals = [r[1] for r in weighted.groupBy("label_index").agg(F.sum("class_weight")).collect()]
     assert totals[0] == pytest.approx(totals[1])
-    balanced = stages.train_models(fitted.vectors, fitted.features, fitted.ws, (classify.LOGISTIC_REGRESSION,), balanced=True)
+    balanced = stages.train_models(fitted.vectors, fitted.features, stages.Workspace(str(tmp_path)), (classify.LOGISTIC_REGRESSION,), balanced=True)
     plain = fitted.models(classify.LOGISTIC_REGRESSION)
 
     def human_recall(models):
@@ -87,18 +91,36 @@ def test_class_weights_balance(spark, fitted):
     assert human_recall(balanced) > human_recall(plain)
 
 
-def test_pca_refuses_wide_vectors(spark):
-    with pytest.raises(ValueError, match="narrow_features"):
-        projection.fit_pca(spark.range(1), projection.MAX_WIDTH + 1)
-
-
-def test_narrow_features_keeps_first_terms_and_style(spark):
-    rows = spark.createDataFrame([([float(i) for i in range(15)],)], "a array<double>").select(
-        array_to_vector("a").alias("features")
-    )
-    narrow, width = projection.narrow_features(rows, 15, terms=3)
-    assert width == 8
-    assert list(narrow.first().features) == [0, 1, 2, 10, 11, 12, 13, 14]
+def leading(x, k=2):
+    values, vectors = np.linalg.eigh(np.cov(x.T))
+    vectors = vectors[:, ::-1][:, :k]
+    return values[::-1][:k], vectors * np.sign(vectors[np.abs(vectors).argmax(axis=0), range(k)])
+
+
+def test_components_equal_numpy_on_the_embeddings(spark, sf):
+    rows = spark.read.parquet(f"{sf}/embeddings.parquet").select(F.col("embedding").cast("array<double>").alias("a"), "label")
+    x = np.array([r.a for r in rows.collect()])
+    df = rows.select(array_to_vector("a").alias("features"), F.lit(0).alias("label_index"))
+    got = projection.fit_components(df)
+    variances, vectors = leading(x)
+    assert got.variances == pytest.approx(variances, rel=1e-6)
+    assert got.vectors == pytest.approx(vectors, abs=1e-6)
+    points = np.array([tuple(r)[:2] for r in projection.project(df, got).select("PC1", "PC2").collect()])
+    assert points[np.lexsort(points.T)] == pytest.approx((x @ vectors)[np.lexsort((x @ vectors).T)], abs=1e-5)
+
+
+def test_components_of_wide_sparse_and_dense_vectors(spark):
+    rng = np.random.default_rng(2)
+    x = np.where(rng.random((300, 700)) < 0.05, rng.exponential(size=(300, 700)), 0.0)
+    x[:, 3] += rng.normal(size=300) * 5
+    x[:, 650] += rng.normal(size=300) * 4 + 2
+    rows = [(Vectors.sparse(700, np.flatnonzero(r).tolist(), r[r != 0].tolist()) if i % 2 else Vectors.dense(r), 1) for i, r in enumerate(x)]
+    df = spark.createDataFrame([(v, y) for v, y in rows] + [(None, 1)], StructType([StructField("features", VectorUDT()), StructField("label_index", IntegerType())]))
+    for layout in (df, df.repartition(5)):
+        got = projection.fit_components(layout)
+        assert got.vectors == pytest.approx(leading(x)[1], abs=1e-6)
+    same = projection.fit_components(spark.createDataFrame([(Vectors.dense([1.0, 2.0]),)] * 3, ["features"]))
+    assert same.variances == pytest.approx([0, 0]) and np.isfinite(same.vectors).all()
 
 
 def test_boundary_and_margins(spark):

@@ -96,6 +96,23 @@ def test_source_key_joins_versions(spark):
     assert keys[0] == keys[1] != keys[2] and keys[2]
 
 
+def test_blank_and_repeated_abstracts_have_keys_of_their_own(spark):
+    names = ("original", "allam", "jais", "llama", "openai")
+    texts = [" ", "", None, "t", "t", "t"]
+    rows = spark.createDataFrame(
+        [(t, f"a{i // 2}", "x", None, "x", "from_title") for i, t in enumerate(texts)],
+        ", ".join(f"{n}_generated_abstract string" if n != "original" else "original_abstract string" for n in names)
+        + ", generation_method string",
+    )
+    keyed = reshape.with_source_key(rows).collect()
+    splits = {r.original_abstract: r.doc_id for r in keyed}
+    # Blank, empty and missing human texts are keyed by the generated ones.
+    assert keyed[0].doc_id == keyed[1].doc_id != keyed[2].doc_id and len({r.doc_id for r in keyed[3:]}) == 1
+    assert len(splits) == 4 and len({r.row_key for r in keyed}) == 5 and keyed[4].row_key == keyed[5].row_key
+    long = reshape.to_long(reshape.with_source_key(rows))
+    assert "row_key" in long.columns and long.select("row_key", "generator").distinct().count() == 25
+
+
 # -- TF-IDF -----------------------------------------------------------------------
 
 
@@ -112,8 +129,8 @@ def test_vocabulary_equals_the_vectoriser_without_ties_at_the_cut(spark, corpus_
     assert {r.term for r in ours.collect()} == set(theirs.vocabulary)
 
 
-def weights(rows, terms, size, **options):
-    return tfidf.tfidf_rows(rows, terms, size, "doc_id", "generator", **options)
+def weights(rows, terms):
+    return tfidf.tfidf_rows(rows, terms, "doc_id", "generator")
 
 
 def test_weights_equal_the_ml_stages(spark, corpus_rows):
@@ -133,7 +150,7 @@ def test_weights_equal_the_ml_stages(spark, corpus_rows):
         .where("w <> 0")
         .withColumn("term", F.element_at(F.array(*map(F.lit, vocab)), F.col("i") + 1))
     )
-    both = weights(rows, terms, 200).join(expected, ["doc_id", "generator", "term"], "full")
+    both = weights(rows, terms).join(expected, ["doc_id", "generator", "term"], "full")
     far = both.where(F.coalesce(F.abs(F.col("tfidf") - F.col("w")) > 1e-9, F.lit(True)))
     assert both.count() > 0 and far.count() == 0
 
@@ -141,8 +158,8 @@ def test_weights_equal_the_ml_stages(spark, corpus_rows):
 def test_salted_join_equals_broadcast(spark, corpus_rows):
     rows = corpus_rows
     terms = tfidf.with_idf(tfidf.vocabulary(rows, 300), rows)
-    small = weights(rows, terms, 300)
-    large = weights(rows, terms, 300, broadcast_terms=0, salts=4)
+    small = weights(rows, terms)
+    large = tfidf.tfidf_rows_by_shuffle(rows, terms, "doc_id", "generator", salts=4)
     assert "BroadcastHashJoin" in plan_of(small)
     assert small.count() == large.count() and small.exceptAll(large).count() == 0
 
@@ -245,13 +262,22 @@ def test_narrowed_quantiles_are_exact(spark, name):
     values = columns()[name]
     df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "v double")
     expected = list(np.quantile(values, GRID))
-    assert quantiles.quantiles(df, "v", GRID) == pytest.approx(expected, abs=1e-12)
-    narrowed = quantiles.quantiles(df, "v", GRID, in_task_values=50, accuracy=100)
+    assert quantiles.quantiles(df, ["v"], GRID)["v"] == pytest.approx(expected, abs=1e-12)
+    narrowed = quantiles.quantiles(df, ["v"], GRID, accuracy=100)["v"]
     assert narrowed == pytest.approx(expected, abs=1e-12)
 
 
 def test_quantiles_of_nothing(spark):
-    assert quantiles.quantiles(spark.createDataFrame([], "v double"), "v", (0.5,)) == [None]
+    assert quantiles.quantiles(spark.createDataFrame([], "v double"), ["v"], (0.5,)) == {"v": [None]}
+
+
+def test_columns_share_the_passes(spark):
+    rng = np.random.default_rng(6)
+    a, b = rng.normal(size=3000), rng.exponential(size=3000)
+    df = spark.createDataFrame([(float(x), float(y) if i % 3 else None) for i, (x, y) in enumerate(zip(a, b))], "a double, b double")
+    got = quantiles.quantiles(df, ["a", "b"], GRID, accuracy=200)
+    assert got["a"] == pytest.approx(list(np.quantile(a, GRID)), abs=1e-12)
+    assert got["b"] == pytest.approx(list(np.quantile(b[np.arange(3000) % 3 > 0], GRID)), abs=1e-12)
 
 
 def test_trim_keeps_both_ends(spark):

@@ -13,8 +13,6 @@ TABLES = (
 ).split()
 
 WITHOUT_SQL = {
-    "m1_count_vectorizer",
-    "m2_idf",
     "m3_logistic_regression",
     "m4_linear_svm",
     "m5_random_forest",
@@ -23,7 +21,6 @@ WITHOUT_SQL = {
     "m7_m9_corpus_projection",
     "m8_boundary",
     "m9_plot_points",
-    "p7_assembled_vectors",
     "s9_s10_model_round_trip",
     "a15_trained_model_comparison",
     "x3_stream_scoring",
@@ -55,7 +52,7 @@ def test_query_equals_sql(name, spark, sf, duck):
     result = duck.execute(contract.oracle_sql()[name])
     names = [d[0] for d in result.description]
     assert sorted(df.columns) == sorted(names)
-    kinds = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE"}
+    kinds = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
     assert {c: kinds[t] for c, t in df.dtypes} == {d[0]: str(d[1]) for d in result.description}
     got = [tuple(r) for r in df.select(*[f"`{c}`" for c in names]).collect()]
     assert ordered(got) == ordered(result.fetchall())

@@ -2,6 +2,7 @@ import os
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from penmark import session
 from penmark.operators import counts
@@ -79,12 +80,39 @@ def test_profile_counts_nulls_and_blanks(spark):
     assert got == {"n": ("int", 3, 1, 0), "s": ("string", 3, 1, 1)}
 
 
-def test_balance_only_touches_small_scans(spark, sf, tmp_path):
+def test_spreading_is_the_callers_choice(spark, sf):
     one_file = tables.read_table(spark, sf, "documents", "doc_id")
-    cores = spark.sparkContext.defaultParallelism
-    assert corpus.balance(one_file).rdd.getNumPartitions() == cores
-    many = spark.range(0, 1000, 1, cores + 3)
-    assert corpus.balance(many) is many
+    assert corpus.spread(one_file, None) is one_file
+    assert corpus.spread(one_file, 6).rdd.getNumPartitions() == 6
+
+
+def test_headers_in_other_orders_keep_their_labels(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('original_abstract,allam_generated_abstract\nhuman1,"allam\n1"\n')
+    (tmp_path / "b.csv").write_text('allam_generated_abstract,"original_abstract"\nallam2,human2\n')
+    (tmp_path / "c.csv").write_text("original_abstract\nhuman3\n")
+    (tmp_path / "_hidden.csv").write_text("x\n1\n")
+    rows = sorted(tuple(r) for r in corpus.scan_csv(spark, str(tmp_path)).select(corpus.HUMAN_COLUMN, "allam_generated_abstract").collect())
+    assert rows == [("human1", "allam\n1"), ("human2", "allam2"), ("human3", None)]
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in ("original_abstract", "allam_generated_abstract")])
+    rows = sorted(tuple(r) for r in corpus.scan_csv(spark, [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")], schema).collect())
+    assert rows == [("human1", "allam\n1"), ("human2", "allam2")]
+    with pytest.raises(ValueError, match="c.csv"):
+        corpus.scan_csv(spark, str(tmp_path / "c.csv"), schema)
+
+
+def test_unknown_origin_is_refused(spark, tmp_path):
+    (tmp_path / "elsewhere").mkdir()
+    (tmp_path / "elsewhere" / "x.csv").write_text("original_abstract\nt\n")
+    with pytest.raises(Exception, match="no generation method"):
+        corpus.scan_tagged_csv(spark, [str(tmp_path / "elsewhere")]).collect()
+
+
+def test_lists_and_sizes_are_what_they_are_stated_to_be(sf, spark):
+    """Counted here by hand, as queries and SQL share the lists."""
+    from penmark.functions import lexicon as lx
+
+    assert (len(lx.STREAM_STOP_WORDS), len(lx.FOLD_FROM), len(lx.FOLD_TO)) == (37, 7, 7)
+    assert (len(corpus.TEXT_COLUMNS), len(corpus.GENERATION_METHODS), len(tables.MARKER_WORDS)) == (5, 3, 10)
 
 
 def test_derived_corpus_exercises_the_rules(spark, sf, corpus_rows):
