@@ -231,15 +231,17 @@ class _Join:
         self.prepare(members)
         stars = [members.select(F.col("class").alias("a"), F.col(hub).alias("b")).where("a != b") for hub in ("hub", "far")]
         compared = self.compare(stored(stars[0].distinct(), "star"))
-        found = connected_components(compared.where("linked"))
+        links = compared.where("linked")
+        found = connected_components(links)
         # Again with the other end of each segment's classes, where the star left components apart.
-        apart = _across(stars[1].distinct(), found)
-        again = self.compare(stored(apart, "star"))
-        found = connected_components(compared.where("linked").union(again.where("linked")))
-        rest = self._between(members, found, compared)
-        last = self.compare(stored(rest, "rest"))
-        every = compared.union(again).union(last).where("linked")
-        return connected_components(every)
+        apart = stored(_across(stars[1].distinct(), found), "star")
+        if apart.limit(1).count():
+            links = links.union(self.compare(apart).where("linked"))
+            found = connected_components(links)
+        rest = stored(self._between(members, found, compared), "rest")
+        if rest.limit(1).count():
+            found = connected_components(links.union(self.compare(rest).where("linked")))
+        return found
 
     def _between(self, members: DataFrame, found: DataFrame, compared: DataFrame) -> DataFrame:
         """Pairs that meet in a segment, lie in different components and may still be linked."""
