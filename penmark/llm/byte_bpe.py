@@ -26,11 +26,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from penmark.llm.common import stored
-from penmark.llm.pretokens import distinct_words, pretoken_blocks, reassemble, slices, spread
+from penmark.llm.pretokens import for_distinct_words, pretoken_blocks, reassemble, slices, spread
 
-# Ids that are decoded at a time.
-DECODE_IDS = 1 << 20
+# Positions that are encoded, and ids that are decoded, at a time.
+MAKE_POSITIONS = 1 << 18
+DECODE_IDS = 1 << 18
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
@@ -43,30 +43,31 @@ def _encoding(path: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=load_ranks(path), special_tokens={})
 
 
-def encode_words(words: DataFrame, ranks: str = RANKS) -> DataFrame:
-    """word, ids: byte-pair merges of each pre-token as it stands, without splitting it again."""
+def _encode_words(ranks: str):
+    """Byte-pair merges of each pre-token as it stands, without splitting it again."""
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def compute(words: pa.StringArray) -> pa.ListArray:
         one = _encoding(ranks)._encode_single_piece
-        for batch in batches:
-            found = [one(w) for w in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found, pa.list_(pa.int32()))], ["word", "ids"]
-            )
+        return pa.array([one(w) for w in words.to_pylist()], pa.list_(pa.int32()))
 
-    return words.select("word").mapInArrow(encode, "word string, ids array<int>")
+    return compute
 
 
 def _concatenate(ids_type: pa.DataType, id_col: str):
-    def make(ids: pa.Array, lengths: np.ndarray, positions: np.ndarray, values: pa.Array) -> pa.Table:
-        flat = values.flatten().to_numpy(zero_copy_only=False)
-        sizes = pc.list_value_length(values).to_numpy(zero_copy_only=False).astype(np.int64)
-        starts = np.cumsum(sizes) - sizes
-        counts = sizes[positions]
-        tokens = flat[spread(starts[positions], counts)]
-        ends = np.concatenate([[0], np.cumsum(counts)])[np.concatenate([[0], np.cumsum(lengths)])]
-        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(tokens, pa.int32()))
-        return pa.Table.from_arrays([ids.cast(ids_type), lists], [id_col, "ids"])
+    def make(
+        ids: pa.Array, lengths: np.ndarray, positions: np.ndarray, counts: np.ndarray, flat: np.ndarray
+    ) -> Iterator[pa.RecordBatch]:
+        starts = np.cumsum(counts) - counts
+        at = 0
+        # A few documents at a time, so that the indices stay small.
+        for first, last in slices(lengths, MAKE_POSITIONS):
+            part = positions[at : at + lengths[first:last].sum()]
+            at += len(part)
+            sizes = counts[part]
+            tokens = flat[spread(starts[part], sizes)]
+            ends = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(lengths[first:last])])]
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(tokens, pa.int32()))
+            yield pa.RecordBatch.from_arrays([ids[first:last].cast(ids_type), lists], [id_col, "ids"])
 
     return make
 
@@ -79,10 +80,10 @@ def encode(
 ) -> DataFrame:
     """One row per document: its id and ``ids``, the token ids of its whole text."""
     blocks = pretoken_blocks(docs, id_col, text_col)
-    words = stored(encode_words(distinct_words(blocks), ranks), "encoded-words")
     kind = docs.schema[id_col].dataType
     schema = f"`{id_col}` {kind.simpleString()}, ids array<int>"
-    return reassemble(blocks, words, "ids", _concatenate(to_arrow_type(kind), id_col), schema)
+    values = for_distinct_words(blocks, _encode_words(ranks))
+    return reassemble(blocks, values, _concatenate(to_arrow_type(kind), id_col), schema)
 
 
 def decode(encoded: DataFrame, ids_col: str = "ids", ranks: str = RANKS, out: str = "decoded") -> DataFrame:

@@ -17,7 +17,6 @@ repeat; null ids are kept. An empty table gives an empty table. Other columns ar
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_type
 
 from penmark.llm.byte_bpe import RANKS, load_ranks
-from penmark.llm.common import stored
-from penmark.llm.pretokens import distinct_words, pretoken_blocks, reassemble
+from penmark.llm.pretokens import for_distinct_words, pretoken_blocks, reassemble
 
 
 def unigram_scores(path: str) -> dict[bytes, float]:
@@ -66,32 +64,24 @@ class TrieWalk:
         return -pieces, score
 
 
-def count_words(words: DataFrame, ranks: str = RANKS) -> DataFrame:
-    """word, counted (n_tokens, score) for every distinct pre-token."""
-    kind = pa.struct([("n_tokens", pa.int64()), ("score", pa.float64())])
+def _count_words(ranks: str):
+    """Count and score of sorted distinct pre-tokens, along one walk through their trie."""
 
-    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def compute(words: pa.StringArray) -> pa.ListArray:
         trie = TrieWalk(unigram_scores(ranks))
-        for batch in batches:
-            found = [trie.visit(w.encode()) for w in batch.column(0).to_pylist()]
-            values = pa.array([{"n_tokens": n, "score": s} for n, s in found], kind)
-            yield pa.RecordBatch.from_arrays([batch.column(0), values], ["word", "counted"])
+        return pa.array([trie.visit(w.encode()) for w in words.to_pylist()], pa.list_(pa.float64()))
 
-    ordered = words.select("word").repartitionByRange("word").sortWithinPartitions("word")
-    return ordered.mapInArrow(walk, "word string, counted struct<n_tokens: bigint, score: double>")
+    return compute
 
 
 def _sum(ids_type: pa.DataType, id_col: str):
-    def make(ids: pa.Array, lengths: np.ndarray, positions: np.ndarray, values: pa.Array) -> pa.Table:
+    def make(ids: pa.Array, lengths: np.ndarray, positions: np.ndarray, counts: np.ndarray, flat: np.ndarray):
         ends = np.cumsum(lengths)
-        sums = []
-        for field in ("n_tokens", "score"):
-            each = values.field(field).to_numpy(zero_copy_only=False)
+        columns = [ids.cast(ids_type), pa.array(lengths.astype(np.int64))]
+        for each, kind in ((flat[0::2], np.int64), (flat[1::2], np.float64)):
             total = np.concatenate([[0], np.cumsum(each[positions])])
-            sums.append(pa.array(total[ends] - total[ends - lengths]))
-        return pa.Table.from_arrays(
-            [ids.cast(ids_type), pa.array(lengths), *sums], [id_col, "n_pretokens", "n_tokens", "score"]
-        )
+            columns.append(pa.array((total[ends] - total[ends - lengths]).astype(kind)))
+        yield pa.RecordBatch.from_arrays(columns, [id_col, "n_pretokens", "n_tokens", "score"])
 
     return make
 
@@ -104,7 +94,7 @@ def count_tokens(
 ) -> DataFrame:
     """One row per document: its id, n_pretokens, n_tokens and the score of its best segmentation."""
     blocks = pretoken_blocks(docs, id_col, text_col)
-    words = stored(count_words(distinct_words(blocks), ranks), "counted-words")
     kind = docs.schema[id_col].dataType
     schema = f"`{id_col}` {kind.simpleString()}, n_pretokens bigint, n_tokens bigint, score double"
-    return reassemble(blocks, words, "counted", _sum(to_arrow_type(kind), id_col), schema)
+    values = for_distinct_words(blocks, _count_words(ranks))
+    return reassemble(blocks, values, _sum(to_arrow_type(kind), id_col), schema)
