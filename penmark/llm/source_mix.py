@@ -36,7 +36,7 @@ ROUNDS = 16
 MAX_REPEATS = 3
 WEIGHTS = 3
 # Rows that one task orders to find their places, and slots made from one row.
-BUCKET_ROWS = 50_000
+BUCKET_ROWS = 5_000
 SLOT_CHUNK = 8192
 
 
@@ -165,7 +165,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         (begin - F.col("start")).alias("from_word"),
         (F.least(end, (F.col("block") + 1) * BLOCK) - begin).alias("n_words"),
     )
-    return Mix(sources, placed, slots(sources, seed).join(pieces, ["source_key", "block"]))
+    # Slots come out of a few rows per source, whose size says nothing about theirs.
+    return Mix(sources, placed, slots(sources, seed).join(pieces.hint("merge"), ["source_key", "block"]))
 
 
 def taken(mixed: Mix, id_col: str = "doc_id") -> DataFrame:
