@@ -11,7 +11,7 @@ The ring has CELLS cells. Bytes per cell are summed by Spark; walking the ring
 needs only that table of at most CELLS rows, which gives every shard stretches of
 bytes inside cells. Documents then look up the stretch of their own offset in their
 cell. A cell with many rows (a text that a third of all rows share) is dealt over
-parts by id, so no task orders more than about PART_ROWS rows.
+parts by id, so no task orders more than about one PARTS-th of all rows.
 
 Defined results. A null or empty text has the size of an empty one. Repeated rows
 have places of their own; ties in the order are between equal rows. An empty table
@@ -33,7 +33,9 @@ VIRTUAL_NODES = 64
 CELLS = 1 << 14
 SLACK = 0.001
 ROW_BYTES = 16
-PART_ROWS = 50_000
+# More parts than cells there are at most; a part of LEAST_ROWS is not worth dealing.
+PARTS = 1 << 15
+LEAST_ROWS = 256
 
 
 def ring(shards: int, virtual_nodes: int = VIRTUAL_NODES, cells: int = CELLS) -> list[tuple[int, int]]:
@@ -96,7 +98,8 @@ def assign(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_c
     )
     # At most CELLS rows, whatever the corpus.
     cells = rows.groupBy("cell").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")).orderBy("cell").collect()
-    parts = [(c.cell, -(-c.n // PART_ROWS)) for c in cells if c.n > PART_ROWS]
+    most = max(LEAST_ROWS, sum(c.n for c in cells) // PARTS)
+    parts = [(c.cell, -(-c.n // most)) for c in cells if c.n > most]
     split = F.broadcast(spark.createDataFrame(parts, "cell int, parts bigint"))
     dealt = rows.join(split, "cell", "left").withColumn(
         "part", F.when(F.col("parts").isNull(), 0).otherwise(F.pmod(F.xxhash64("_id", F.lit(1)), F.col("parts"))).cast("int")

@@ -30,8 +30,7 @@ def many(spark, n=6000):
     return documents(spark, [(i, f"text number {i} " + "x" * (i % 50), "s") for i in range(n)], 6)
 
 
-def test_equal_sizes_and_a_hot_group(spark, monkeypatch):
-    monkeypatch.setattr(rs, "PART_ROWS", 100)
+def test_equal_sizes_and_a_hot_group(spark):
     rows = [(i, PROSE if i % 3 == 0 else f"{PROSE} {i}", "s") for i in range(4000)]
     got = rs.assign(documents(spark, rows, 7)).collect()
     loads = check(got, [r[1] for r in rows], rs.SHARDS)
