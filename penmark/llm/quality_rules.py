@@ -29,7 +29,9 @@ MIN_WORDS = 50
 WINDOW = 3
 SYMBOLS = r"[#*$%&|<>]"
 THRESHOLD = 0.5
-ITERATIONS = 20
+ITERATIONS = 50
+# EM ends when no parameter changes by more than this.
+SETTLED = 1e-4
 FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 _MORE = ("n_lines", "n_upper", "n_not_letters", "n_bare", "n_shouts")
 NOT_LETTER = r"[^\p{L}\x20\x09-\x0D]"
@@ -150,6 +152,16 @@ class Model:
         good, bad = self.rates[name]["good"], self.rates[name]["bad"]
         return good[0] / (good[0] + good[2]), bad[2] / (bad[0] + bad[2])
 
+    def distance(self, other: Model) -> float:
+        """The largest change of any parameter."""
+        rates = [
+            abs(a - b)
+            for name, kinds in self.rates.items()
+            for kind, mine in kinds.items()
+            for a, b in zip(mine, other.rates[name][kind])
+        ]
+        return max(abs(self.prior - other.prior), *rates)
+
     def log_odds(self) -> Column:
         """Of good against bad, given the vote columns."""
         total = F.lit(math.log(self.prior / (1 - self.prior)))
@@ -184,6 +196,7 @@ def fit(patterns: DataFrame, names: list[str], iterations: int = ITERATIONS) ->
             seen = got[f"{name} {OUTCOMES[k]} {kind}"]
             return round((seen + extra * START[kind][k]) / (got[kind] + extra), 9)
 
+        before = model
         model = Model(
             round((got["good"] + extra * START_PRIOR) / (got["good"] + got["bad"] + extra), 9),
             {
@@ -191,6 +204,8 @@ def fit(patterns: DataFrame, names: list[str], iterations: int = ITERATIONS) ->
                 for name in names
             },
         )
+        if model.distance(before) < SETTLED:
+            break
     return model
 
 
