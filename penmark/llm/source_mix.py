@@ -3,7 +3,8 @@
 The words of each source form one stream, packed into blocks of BLOCK words. Each
 output shard holds SHARD_BLOCKS slots, and every slot has a source and a block:
 
-* a source has as many slots as its target fills. The slots of all sources are dealt
+* a source has a slot for every block of its whole passes, and in its last pass as many
+  as bring its words nearest to the target, but one at least. The slots of all sources are dealt
   to the shards by a pseudorandom permutation of the whole output, so the counts of
   the sources in a shard are a multinomial draw, conditioned on the totals being the
   targets;
@@ -40,22 +41,23 @@ BUCKET_ROWS = 5_000
 SLOT_CHUNK = 8192
 
 
-def permuted(index: Column, size: Column, *key: Column) -> Column:
-    """Image of ``index`` under a keyed bijection on 0 .. size - 1."""
+def permuted(index: Column, size: Column, *key: Column, inverse: bool = False) -> Column:
+    """Image of ``index`` under a keyed bijection on 0 .. size - 1, or under its inverse."""
 
     def mirror(x: Column, r: Column) -> Column:
         other = F.pmod(F.pmod(F.xxhash64(*key, r), size) - x, size)
         swap = F.xxhash64(*key, r, F.greatest(x, other)).bitwiseAND(F.lit(1).cast("bigint")) == 1
         return F.when(swap, other).otherwise(x)
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), index, mirror)
+    rounds = F.sequence(F.lit(ROUNDS), F.lit(1)) if inverse else F.sequence(F.lit(1), F.lit(ROUNDS))
+    return F.aggregate(rounds, index, mirror)
 
 
 def source_key(source: str) -> Column:
     return F.xxhash64(F.col(source), F.col(source).isNull())
 
 
-def targets(sizes: DataFrame) -> DataFrame:
+def targets(sizes: DataFrame, seed: int = SEED) -> DataFrame:
     """Add weight, ``target`` and the range of output slots to one row per source.
 
     Sorted by the level at which they fill up, the capped sources come first, so
@@ -71,11 +73,20 @@ def targets(sizes: DataFrame) -> DataFrame:
     left = F.sum("source_size").over(everything) - F.coalesce(F.sum(cap).over(before), F.lit(0))
     level = ranked.withColumn("level", left / F.sum("weight").over(after))
     filled = level.withColumn("target", F.least(cap.cast("double"), F.max("level").over(everything) * F.col("weight")))
-    ends = F.round(F.sum("target").over(Window.orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)) / BLOCK)
+    # In the last pass the source's short block has its place; before it slots hold BLOCK words.
+    some = F.greatest("blocks", F.lit(1).cast("bigint"))
+    missing = F.col("blocks") * BLOCK - F.col("source_size")
+    filled = filled.withColumn("blocks", F.ceil(F.col("source_size") / BLOCK))
+    filled = filled.withColumn("pass", F.floor(F.col("target") / F.greatest("source_size", F.lit(1).cast("bigint"))))
+    filled = filled.withColumn("rest", F.col("target") - F.col("pass") * F.col("source_size"))
+    filled = filled.withColumn("short", permuted(some - 1, some, F.lit(seed), F.col("source_key"), F.col("pass"), inverse=True))
+    plain, beyond = F.round(F.col("rest") / BLOCK), F.round((F.col("rest") + missing) / BLOCK)
+    last = F.when(plain <= F.col("short"), plain).otherwise(F.least(F.greatest(F.col("short").cast("double"), beyond), F.col("blocks").cast("double")))
+    n_slots = F.greatest(F.col("pass") * F.col("blocks") + last.cast("bigint"), F.least("blocks", F.lit(1).cast("bigint")))
+    ends = F.sum(n_slots).over(Window.orderBy("rank").rowsBetween(Window.unboundedPreceding, 0))
     return (
-        filled.withColumn("slots_end", ends.cast("bigint"))
+        filled.withColumn("slots_end", ends)
         .withColumn("slots_start", F.coalesce(F.lag("slots_end").over(Window.orderBy("rank")), F.lit(0)))
-        .withColumn("blocks", F.ceil(F.col("source_size") / BLOCK))
         .select("source_key", "source", "n_rows", "source_size", "weight", "target", "slots_start", "slots_end", "blocks")
     )
 
@@ -90,7 +101,7 @@ class Mix:
     spans: DataFrame
 
 
-def place(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> tuple[DataFrame, DataFrame]:
+def place(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
     slim = stored(
         docs.select(
             F.col(id_col).alias("_id"),
@@ -104,7 +115,7 @@ def place(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> tuple
     sizes = slim.groupBy("source_key").agg(
         F.first("source").alias("source"), F.count("*").alias("n_rows"), F.sum("size").alias("source_size")
     )
-    sources = stored(targets(sizes), "targets")
+    sources = stored(targets(sizes, seed), "targets")
     n_rows = sources.agg(F.sum("n_rows")).first()[0] or 0
     buckets = n_rows // BUCKET_ROWS + 1
     dealt = slim.drop("source").withColumn("bucket", F.pmod(F.xxhash64("_id", "_text_key"), F.lit(buckets)))
@@ -151,7 +162,7 @@ def slots(sources: DataFrame, seed: int = SEED) -> DataFrame:
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = SEED) -> Mix:
     """Span rows: shard, slot, pass, source_key, the row's ``_id`` and ``start``, ``from_word`` and ``n_words``."""
-    sources, placed = place(docs, id_col, text_col, source_col)
+    sources, placed = place(docs, id_col, text_col, source_col, seed)
     end = F.col("start") + F.col("size")
     covered = F.sequence(F.floor(F.col("start") / BLOCK), F.floor((end - 1) / BLOCK))
     pieces = placed.where(F.col("size") > 0).withColumn("block", F.explode(covered))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from penmark.llm import source_mix as sm
 from tests.conftest import plan_of
+from tests.llm.conftest import documents
 
 
 def water_filling(sizes):
@@ -63,6 +64,18 @@ def test_mix_of_the_documents(docs):
     assert sorted(map(tuple, again)) == sorted((r.doc_id, r.size, r.source_size, r.target, r.taken) for r in rows)
 
 
+def test_small_sources_get_their_target(spark):
+    """Capped sources exactly, others to a block, none of them not at all."""
+    sizes = {"a": 10, "b": 1000, "c": 5, "d": 130, "e": 3000}
+    rows = [(i, " ".join(f"{s}{k}" for k in range(n)), s) for i, (s, n) in enumerate(sizes.items())]
+    got = {r.doc_id: r for r in sm.taken(sm.mix(documents(spark, rows))).collect()}
+    target = water_filling(sizes)
+    for i, (s, n) in enumerate(sizes.items()):
+        assert got[i].taken > 0
+        assert abs(got[i].taken - target[s]) <= (0 if target[s] == 3.0 * n else sm.BLOCK)
+    assert got[0].taken == 30 and got[2].taken == 15 and got[3].taken == 390
+
+
 def test_shards_get_their_share(spark):
     """Sources over shards as often as a multinomial draw would have it."""
     sources = spark.createDataFrame(
