@@ -43,5 +43,71 @@ SELECT page_id, payload_bytes, sha1(payload) AS payload_digest,
        CASE WHEN payload_bytes >= 1000 AND page_id <> keep THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN payload_bytes >= 1000 AND page_id <> keep THEN keep END AS refers_to
 FROM g
+""",
+    "op12_conversation_repair": r"""
+WITH RECURSIVE shown AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           encode(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')) AS k
+    FROM conversations
+), drawn AS (
+    SELECT *, xor(list_reduce(
+        list_prepend(4294967295::UBIGINT, [('0x' || substr(hex(k), 2 * i - 1, 2))::UBIGINT FOR i IN range(1, octet_length(k) + 1)]),
+        lambda c, b: list_reduce([xor(c, b), 1, 1, 1, 1, 1, 1, 1, 1],
+            lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384::UBIGINT) ELSE x // 2 END)), 4294967295::UBIGINT) % 20 AS fate
+    FROM shown
+), damaged AS (
+    SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+           CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+           unnest(range(CASE WHEN fate = 3 THEN 2 ELSE 1 END)) AS copy
+    FROM drawn WHERE fate <> 0
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+           left(role, 1) AS initial, right(regexp_replace(text, '[\x20\x09-\x0D]+$', ''), 1) AS last
+    FROM damaged
+), faults AS (
+    SELECT *, CASE WHEN last = '' THEN 'b' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'd'
+                   WHEN last NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault,
+           lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial AS pair
+    FROM placed
+), edges(p, q, edit, cost) AS (
+    SELECT p, q, unnest(['R', 'I']), unnest([1, 5]) FROM (VALUES (0, 2), (1, 2), (2, 3), (3, 2)) v(p, q)
+    UNION ALL SELECT unnest(range(4)), unnest(range(4)), 'D', 2
+    UNION ALL SELECT p, q, 'K', 0 FROM (VALUES (0, 1), (0, 2), (1, 2), (2, 3), (3, 2)) v(p, q)
+), inserts(p, q, cost, audit, said) AS (
+    SELECT unnest(range(4)), unnest(range(4)), 0, '', []::VARCHAR[]
+    UNION ALL
+    SELECT i.p, e.q, i.cost + 5, i.audit || 'I', list_append(i.said, CASE e.q WHEN 2 THEN 'user:' ELSE 'assistant:' END)
+    FROM inserts i JOIN edges e ON e.p = i.q AND e.edit = 'I' WHERE len(i.said) < 3
+), states AS (
+    SELECT DISTINCT conv_id, 0::BIGINT AS i, 0 AS state, 0 AS cost, '' AS audit, []::VARCHAR[] AS said FROM damaged
+    UNION ALL
+    SELECT conv_id, i, state, w.cost, w.audit, w.said FROM (
+        SELECT s.conv_id, f.i, e.q AS state, min({
+            'cost': s.cost + n.cost + e.cost + CASE WHEN fault = 't' AND edit <> 'D' THEN 5 ELSE 0 END,
+            'audit': s.audit || n.audit || edit,
+            'said': list_concat(list_concat(s.said, n.said), CASE edit WHEN 'D' THEN [] WHEN 'K' THEN [role || ':' || text]
+                ELSE [CASE e.q WHEN 2 THEN 'user:' ELSE 'assistant:' END || text] END)}) AS w
+        FROM states s JOIN faults f ON f.conv_id IS NOT DISTINCT FROM s.conv_id AND f.i = s.i + 1
+        JOIN inserts n ON n.p = s.state JOIN edges e ON e.p = n.q
+        WHERE edit <> 'I' AND (edit = 'D' OR fault NOT IN ('b', 'd')) AND (edit <> 'K' OR initial = substr('sua', e.q, 1))
+        GROUP BY s.conv_id, f.i, e.q
+    )
+), ended AS (
+    SELECT s.conv_id, min({'cost': s.cost + n.cost, 'audit': s.audit || n.audit, 'said': list_concat(s.said, n.said)}) AS w
+    FROM states s JOIN (SELECT conv_id, max(i) AS i FROM faults GROUP BY conv_id) l
+      ON l.conv_id IS NOT DISTINCT FROM s.conv_id AND l.i = s.i
+    JOIN inserts n ON n.p = s.state WHERE n.q IN (0, 3) GROUP BY s.conv_id
+), tallies AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank,
+           count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+           count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM faults GROUP BY conv_id
+)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(w.cost, 0)::BIGINT AS cost,
+       coalesce(w.audit, '') AS audit, sha256(coalesce(array_to_string(w.said, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN tallies t ON t.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM c.conv_id
 """,
 }

@@ -21,7 +21,7 @@ def test_every_operator_is_registered():
 @pytest.mark.parametrize("name", sorted(oracle.SQL))
 def test_query_equals_sql(name, spark, sf):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
     result = con.execute(oracle.SQL[name])
     columns = [d[0] for d in result.description]
