@@ -1,0 +1,98 @@
+import numpy as np
+import pytest
+
+from penmark.llm import whitening as w
+
+
+def table(spark, rows, n=3):
+    rows = [(*r, "x", "x", 1) for r in rows]
+    return spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, id string, x string, component int").repartition(n)
+
+
+def by_numpy(rows, k):
+    """Distinct integer vectors, their covariance in extended precision and numpy's eigenvectors."""
+    x = {i: np.floor(np.asarray(v, np.float32).astype(float) * 64).astype(int) + 1_000_000 for i, v in rows}
+    fit = np.array(sorted({tuple(v) for v in x.values()}))
+    n, sums = len(fit), fit.sum(axis=0)
+    y = fit - (sums.astype(np.longdouble) / n)
+    v = (y.T @ y / n).astype(float)
+    values, vectors = np.linalg.eigh(v)
+    values, vectors = values[::-1][:k], vectors[:, ::-1][:, :k]
+    white = {i: ((a - sums / n) @ vectors) / np.sqrt(values) for i, a in x.items()}
+    deviation = {i: sum((n * int(c) - int(s)) ** 2 for c, s in zip(a, sums)) for i, a in x.items()}
+    return n, deviation, white, values / np.trace(v)
+
+
+@pytest.mark.parametrize("width, k", [(24, 16), (5, 5)])
+def test_equals_numpy(spark, width, k):
+    draw = np.random.default_rng(width)
+    vectors = draw.normal(size=(300, width)) * np.linspace(3, 0.2, width)
+    vectors[40:60] = vectors[3]
+    rows = [(i, v.astype(np.float32).tolist()) for i, v in enumerate(vectors)]
+    bad = [(1000, None), (1001, [None] * width), (1002, [float("nan")] * width), (1003, [float("inf")] * width), (1004, []), (1005, [1.0])]
+    got = w.whiten(table(spark, rows + bad)).collect()
+    n, deviation, white, explained = by_numpy(rows, k)
+    assert sorted((r.vec_id, r.component) for r in got) == [(i, c) for i in range(300) for c in range(1, k + 1)]
+    assert {r.n for r in got} == {n} and {r.vec_id: r.deviation for r in got} == deviation
+    assert max(abs(r.explained / explained[r.component - 1] - 1) for r in got) < 1e-12
+    signs = {}
+    for r in got:
+        want = white[r.vec_id][r.component - 1]
+        sign = signs.setdefault(r.component, np.sign(r.whitened * want)) if abs(want) > 0.1 else signs.get(r.component)
+        if sign:
+            assert abs(r.whitened - sign * want) < 1e-9
+    assert len({r.identity_error for r in got}) == 1 and got[0].identity_error < 1e-9
+
+
+def orthogonal(seed, n):
+    return np.linalg.qr(np.random.default_rng(seed).normal(size=(n, n)))[0]
+
+
+@pytest.mark.parametrize(
+    "values",
+    [
+        np.geomspace(1, 1e-12, 20),
+        np.repeat([5.0, 2.0, 1.0], [8, 7, 5]),
+        np.r_[np.ones(6) + np.arange(6) * 1e-9, np.linspace(0.1, 0.5, 10), np.full(4, 1e-5)],
+        np.zeros(6),
+        np.ones(1),
+    ],
+)
+def test_refined_eigenvectors(values):
+    q = orthogonal(1, len(values)).astype(np.longdouble)
+    a = (q * values.astype(np.longdouble)) @ q.T
+    found = w.refine(a.astype(float))
+    assert found.residual < 1e-14
+    assert np.abs(found.values - np.sort(values)[::-1]).max() <= 1e-14 * max(values.max(), 1e-300) * len(values)
+    x = found.vectors
+    assert np.abs(x.T @ x - np.eye(len(x))).max() < 1e-14
+    # Float32 alone is far from that.
+    start = np.linalg.eigh(a.astype(np.float32))[1].astype(float)
+    assert len(values) == 1 or not values.any() or np.abs(start.T @ start - np.eye(len(x))).max() > 1e-9
+
+
+def test_close_eigenvalues_are_told_apart():
+    """Gaps far below float32: the sub-solve finds each vector, not only their plane."""
+    values = np.r_[1 + np.arange(5) * 1e-8, 0.5, 0.1]
+    q = orthogonal(2, 7)
+    found = w.refine((q * values) @ q.T)
+    by_value = q[:, np.argsort(values)[::-1]]
+    assert np.abs(np.abs(np.einsum("ij,ij->j", found.vectors, by_value)) - 1).max() < 1e-10
+
+
+def test_nothing_constant_and_single(spark):
+    assert w.whiten(table(spark, [])).collect() == []
+    assert w.whiten(table(spark, [(1, None), (2, [])])).collect() == []
+    one = w.whiten(table(spark, [(1, [0.5, 0.5]), (1, [0.5, 0.5]), (None, [0.5, 0.5])])).collect()
+    assert len(one) == 6 and {(r.n, r.deviation, r.whitened, r.explained, r.identity_error) for r in one} == {(1, 0, None, 0.0, 0.0)}
+    line = w.whiten(table(spark, [(i, [float(i), 1.0, -float(i)]) for i in range(50)])).collect()
+    assert {r.component for r in line if r.whitened is not None} == {1} and line[0].identity_error < 1e-9
+
+
+def test_large_deviations_are_exact_or_null():
+    x = np.array([[1_000_000 + 10**6, 1_000_000], [1_000_000, 1_000_000]])
+    n = 2_000_000
+    sums = [n * 1_000_000 + 5, n * 1_000_000 - 3]
+    exact = [sum((n * int(c) - s) ** 2 for c, s in zip(row, sums)) for row in x]
+    assert w.deviations(x, n, sums) == [d if d < 1 << 63 else None for d in exact]
+    assert w.deviations(x, 1000, [1000 * 1_000_000] * 2)[0] == (1000 * 10**6) ** 2
