@@ -109,5 +109,31 @@ SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT
 FROM (SELECT DISTINCT conv_id FROM conversations) c
 LEFT JOIN tallies t ON t.conv_id IS NOT DISTINCT FROM c.conv_id
 LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM c.conv_id
+""",
+    "op13_suffix_array_dedup": """
+WITH texts AS (
+    SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), strings AS (
+    SELECT doc_id, p, substr(h, 2 * p - 1, 100) AS s
+    FROM (SELECT doc_id, h, unnest(range(1, length(h) // 2 - 48)) AS p FROM texts)
+), owners AS (
+    SELECT s, min(doc_id) AS owner FROM strings GROUP BY s HAVING min(doc_id) < max(doc_id)
+), gone AS (
+    SELECT doc_id, p, coalesce(p > lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 50, TRUE) AS fresh
+    FROM strings JOIN owners USING (s) WHERE owner < doc_id
+), numbered AS (
+    SELECT doc_id, p, sum(fresh::INT) OVER (PARTITION BY doc_id ORDER BY p) AS k FROM gone
+), spans AS (
+    SELECT doc_id, min(p) AS a, max(p) + 49 AS b FROM numbered GROUP BY doc_id, k
+), before AS (
+    SELECT *, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS last FROM spans
+), kept AS (
+    SELECT doc_id, string_agg(substr(h, 2 * last + 1, 2 * (a - 1 - last)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS h,
+           sum(b - a + 1) AS n_removed, count(*) AS n_spans
+    FROM before JOIN texts USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, length(t.h) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(k.h, t.h))) AS kept_sha256
+FROM texts t LEFT JOIN kept k USING (doc_id)
 """,
 }

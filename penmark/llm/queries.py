@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from penmark.llm import byte_bpe, conversation_repair, exact_dedup, jaccard_join, line_crf, quality_rules, ring_sharding, source_mix, substring_dedup, token_counts, warc, whitening
+from penmark.llm import byte_bpe, conversation_repair, exact_dedup, jaccard_join, line_crf, quality_rules, ring_sharding, source_mix, substring_dedup, suffix_dedup, token_counts, warc, whitening
 from penmark.llm.common import text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -132,3 +132,8 @@ def op11_whitening(spark, sf):
 @query
 def op12_conversation_repair(spark, sf):
     return conversation_repair.repair_damaged(table(spark, sf, "conversations", "conv_id", "turn", "role", "text"))
+
+
+@query
+def op13_suffix_array_dedup(spark, sf):
+    return suffix_dedup.remove_repeated(table(spark, sf, "documents", "doc_id", "text"))

@@ -12,7 +12,7 @@ from tests.llm.test_jaccard_join import by_brute_force
 
 def test_every_operator_is_registered():
     names = contract.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
     assert names["pipeline"] is corpus_pipeline.run
     assert set(oracle.SQL) <= set(contract.oracle_sql())
@@ -33,12 +33,14 @@ def test_contract_columns(spark, sf):
     expected = {
         "op1_quality_rules": {"doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"},
         "op4_source_mix": {"doc_id", "size", "source_size", "target", "taken"},
+        "op11_whitening": {"vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"},
         "op10_ring_sharding": {"doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"},
     }
     n = spark.read.parquet(f"{sf}/documents.parquet").count()
+    rows = {"op11_whitening": 16 * spark.read.parquet(f"{sf}/embeddings.parquet").count()}
     for name, columns in expected.items():
         df = queries.registered()[name](spark, sf)
-        assert columns <= set(df.columns) and df.count() == n
+        assert columns <= set(df.columns) and df.count() == rows.get(name, n)
 
 
 def test_pipeline(spark, sf, monkeypatch):
