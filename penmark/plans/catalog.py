@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from penmark.functions import text as tx
 from penmark.functions.lexicon import ARABIC, ARABIC_STREAM
-from penmark.operators import classify, counts, evaluation, projection, quantiles, reshape, sampling, tfidf
+from penmark.operators import classify, counts, evaluation, model_tables, projection, quantiles, reshape, sampling, tfidf
 from penmark.plans import stages
 from penmark.sources import corpus, tables
 from penmark.session import shared_dir
@@ -620,6 +620,31 @@ def m5_m6_s9_s10_random_forest(spark, sf):
     return _reloaded(spark, sf, classify.RANDOM_FOREST)
 
 
+def _scored_by_joins(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """Rows per split and class, and on how many the model as a table scores otherwise than MLlib does."""
+    stored = Stored.get(spark, sf)
+    key = stages.row_key(stored.vectors)
+    models = stored.models(name)
+    own = model_tables.margins(stored.vectors, models[name], stored.ws.model(name), *key)
+    scored = classify.score_all(stored.vectors, models, *key, "split", "label_index")
+    return model_tables.agreement(scored, own, *key)
+
+
+@query
+def m3_scores_by_joins(spark, sf):
+    return _scored_by_joins(spark, sf, classify.LOGISTIC_REGRESSION)
+
+
+@query
+def m4_scores_by_joins(spark, sf):
+    return _scored_by_joins(spark, sf, classify.LINEAR_SVM)
+
+
+@query
+def m5_scores_by_rules(spark, sf):
+    return _scored_by_joins(spark, sf, classify.RANDOM_FOREST)
+
+
 @query
 def m6_batch_scoring(spark, sf):
     """Raw feature rows of the test split through the saved and reloaded SVM."""
@@ -652,13 +677,18 @@ def a15_trained_model_comparison(spark, sf):
 # -- projection to the plane ---------------------------------------------------------------------------------
 
 
-def _embedding_plane(spark: SparkSession, sf: str) -> DataFrame:
-    """``embeddings`` projected to two components; label below 5 counts as human."""
-    rows = tables.read_table(spark, sf, "embeddings").select(
+def _embeddings(spark: SparkSession, sf: str) -> DataFrame:
+    """``embeddings`` as vectors; label below 5 counts as human."""
+    return tables.read_table(spark, sf, "embeddings").select(
         "vec_id",
         array_to_vector(F.col("embedding").cast("array<double>")).alias("features"),
         (F.col("label") >= 5).cast("int").alias("label_index"),
     )
+
+
+def _embedding_plane(spark: SparkSession, sf: str) -> DataFrame:
+    """``embeddings`` projected to two components."""
+    rows = _embeddings(spark, sf)
     return projection.project(rows, projection.fit_components(rows), "vec_id")
 
 
@@ -675,6 +705,15 @@ def m7_projected_rows(spark, sf):
     return plane.select("vec_id", "label_index", "Class", (finite[0] & finite[1]).alias("has_point"))
 
 
+@query
+def m7_certificate(spark, sf):
+    """Per component: larger variances besides those before it, and how far it is from a unit eigenvector."""
+    rows = _embeddings(spark, sf)
+    found = projection.certify(rows, projection.fit_components(rows))
+    table = spark.createDataFrame(found, "component int, n_larger bigint, residual double, off_orthonormal double")
+    return table.select("component", "n_larger", rounded("residual").alias("residual"), rounded("off_orthonormal").alias("off_orthonormal"))
+
+
 @query
 def p8_vector_element(spark, sf):
     vector = array_to_vector(F.col("embedding").cast("array<double>"))
@@ -711,6 +750,13 @@ def m8_boundary_residuals(spark, sf):
     return line.select("point", *[residual(y, level).alias(f"off_{y}") for y, level in levels.items()])
 
 
+@query
+def m8_better_lines(spark, sf):
+    """Lines around the fitted one that separate the points better: none."""
+    _, points = _stored_points(spark, sf)
+    return projection.better_lines(points, projection.fit_boundary(points))
+
+
 @query
 def m9_plot_points(spark, sf):
     return _stored_points(spark, sf)[1]

@@ -359,6 +359,14 @@ SQL: dict[str, str] = {
         " 0::BIGINT AS n_differ FROM corpus GROUP BY ALL"
         for name in ("m3_m6_s9_s10_logistic_regression", "m4_m6_s9_s10_linear_svm", "m5_m6_s9_s10_random_forest")
     },
+    **{
+        name: f"WITH {LONG} SELECT {SPLIT} AS split, (label = 'ai')::INTEGER AS label_index, count(*)::BIGINT AS n_rows,"
+        " 0::BIGINT AS n_differ, true AS tells_apart FROM corpus GROUP BY ALL"
+        for name in ("m3_scores_by_joins", "m4_scores_by_joins", "m5_scores_by_rules")
+    },
+    "m7_certificate": "SELECT range::INTEGER AS component, range - 1 AS n_larger, 0::DOUBLE AS residual, 0::DOUBLE AS off_orthonormal"
+    " FROM range(1, 3)",
+    "m8_better_lines": "SELECT 78::BIGINT AS n_tried, 0::BIGINT AS n_better",
     "m7_projected_rows": "SELECT vec_id, (label >= 5)::INTEGER AS label_index,"
     " CASE WHEN label >= 5 THEN 'AI' ELSE 'Human' END AS \"Class\", true AS has_point FROM embeddings",
     "m8_boundary_residuals": "SELECT range AS point, 0::DOUBLE AS off_y, 0::DOUBLE AS off_y_upper, 0::DOUBLE AS off_y_lower"

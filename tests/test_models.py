@@ -5,7 +5,7 @@ from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from penmark.operators import classify, evaluation, projection, tfidf
+from penmark.operators import classify, evaluation, model_tables, projection, tfidf
 from penmark.plans import catalog, stages
 from penmark.sources import corpus
 
@@ -149,3 +149,109 @@ def test_plot_points_are_trimmed_and_capped(spark):
     assert points.count() == projection.SAMPLE_ROWS
     low, high = points.agg(F.min("PC1"), F.max("PC1")).first()
     assert low >= 29.99 and high <= 2969.01
+
+
+# -- models as tables ------------------------------------------------------------
+
+
+def differing(fitted, model, name):
+    """Rows that a model as tables scores otherwise than the fitted one, and whether it tells the classes apart."""
+    key = stages.row_key(fitted.vectors)
+    own = model_tables.margins(fitted.vectors, model, fitted.ws.model(name), *key)
+    scored = classify.score_all(fitted.vectors, fitted.models(name), *key, "split", "label_index")
+    rows = model_tables.agreement(scored, own, *key).collect()
+    return sum(r.n_differ for r in rows), {r.tells_apart for r in rows}
+
+
+@pytest.mark.parametrize("name", SMALL)
+def test_wrong_weights_are_noticed(fitted, name):
+    model = fitted.models(name)[name]
+    assert differing(fitted, model, name) == (0, {True})
+    last = model.stages[-1]
+    turned = Vectors.dense([-w for w in last.coefficients.toArray()])
+
+    class Turned(type(last)):
+        coefficients, intercept = turned, -last.intercept
+
+        def __init__(self):
+            pass
+
+        def getThreshold(self):
+            return last.getThreshold()
+
+    n_differ, apart = differing(fitted, type("Model", (), {"stages": [Turned()]}), name)
+    assert n_differ > 0 and apart == {False}
+
+
+def test_wrong_rules_are_noticed(spark, fitted):
+    name = classify.RANDOM_FOREST
+    forest, key = fitted.models(name)[name].stages[-1], stages.row_key(fitted.vectors)
+    nodes = model_tables.node_table(spark, fitted.ws.model(name), forest)
+    assert nodes.count() == sum(t.numNodes for t in forest.trees)
+    depth = max(t.depth for t in forest.trees)
+    own = {tuple(r)[: len(key)]: r.margin for r in model_tables.forest_margins(fitted.vectors, nodes, forest.getNumTrees, depth, *key).collect()}
+    votes = forest.transform(fitted.vectors).select(*key, "rawPrediction").collect()
+    assert own == pytest.approx({tuple(r)[: len(key)]: r.rawPrediction[1] - r.rawPrediction[0] for r in votes})
+    swapped = nodes.withColumns({"left": F.col("right"), "right": F.col("left")})
+    other = {tuple(r)[: len(key)]: r.margin for r in model_tables.forest_margins(fitted.vectors, swapped, forest.getNumTrees, depth, *key).collect()}
+    assert other != pytest.approx(own)
+
+
+def test_sparse_and_dense_vectors_meet_the_same_weights(spark, fitted):
+    model = fitted.models(SMALL[0])[SMALL[0]].stages[-1]
+    width = model.numFeatures
+    values = {1: 2.0, 3: -1.0, width - 1: 0.5}
+    rows = [(0, Vectors.sparse(width, values)), (1, Vectors.dense([values.get(i, 0.0) for i in range(width)])), (2, Vectors.sparse(width, {}))]
+    got = {r.id: r.margin for r in model_tables.linear_margins(spark.createDataFrame(rows, ["id", "features"]), model, "id").collect()}
+    weights = model.coefficients.toArray()
+    assert got[0] == pytest.approx(got[1]) == pytest.approx(sum(weights[i] * x for i, x in values.items()) + model.intercept)
+    assert got[2] == pytest.approx(model.intercept)
+
+
+# -- certificates ------------------------------------------------------------------
+
+
+def test_wrong_components_are_noticed(spark):
+    draw = np.random.default_rng(3)
+    points = draw.normal(size=(400, 6)) * [5, 4, 3, 2, 1, 0.5] + 7
+    df = spark.createDataFrame([(Vectors.dense(p.tolist()),) for p in points], ["features"])
+    assert projection.covariance(df) == pytest.approx(np.cov(points.T))
+    good = projection.fit_components(df)
+    assert [(k, n, round(r, 9), round(o, 9)) for k, n, r, o in projection.certify(df, good)] == [(1, 0, 0, 0), (2, 1, 0, 0)]
+    values, vectors = np.linalg.eigh(np.cov(points.T))
+    third = projection.Components(vectors[:, [5, 3]], values[[5, 3]])
+    assert [n for _, n, _, _ in projection.certify(df, third)] == [0, 2]
+    tilted = projection.Components(good.vectors @ np.array([[1, 0.1], [0, 1]]), good.variances)
+    assert projection.certify(df, tilted)[1][2] > 1e-3 and projection.certify(df, tilted)[1][3] > 1e-3
+
+
+def test_passes_without_end_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(projection, "MAX_PASSES", 1)
+    monkeypatch.setattr(projection, "EXTRA", 0)
+    points = np.random.default_rng(4).normal(size=(60, 20))
+    df = spark.createDataFrame([(Vectors.dense(p.tolist()),) for p in points], ["features"])
+    with pytest.raises(RuntimeError):
+        projection.fit_components(df)
+
+
+def test_worse_boundaries_are_noticed(spark):
+    draw = np.random.default_rng(5)
+    rows = [(float(x), float(y), int(x + 0.5 * y + draw.normal() > 1)) for x, y in draw.normal(size=(500, 2)) * 3]
+    points = spark.createDataFrame(rows, "PC1 double, PC2 double, label_index int")
+    model = projection.fit_boundary(points)
+    lines = projection.other_lines(model)
+    assert tuple(projection.better_lines(points, model).first()) == (len(lines) - 1, 0)
+    own = {r.line: r.objective for r in projection.objectives(points, lines, model.getRegParam()).collect()}
+    x, sign = np.array([r[:2] for r in rows]), np.array([2 * r[2] - 1 for r in rows])
+    for k, (a, b, c) in enumerate(lines):
+        want = np.maximum(0, 1 - sign * (x @ [a, b] + c)).mean() + model.getRegParam() / 2 * (a * a + b * b)
+        assert own[k] == pytest.approx(want)
+    w, place = model.coefficients, model.intercept + 1.5
+
+    class Shifted:
+        coefficients, intercept = w, place
+
+        def getRegParam(self):
+            return model.getRegParam()
+
+    assert projection.better_lines(points, Shifted()).first().n_better > 0

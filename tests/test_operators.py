@@ -280,6 +280,29 @@ def test_columns_share_the_passes(spark):
     assert got["b"] == pytest.approx(list(np.quantile(b[np.arange(3000) % 3 > 0], GRID)), abs=1e-12)
 
 
+def test_two_jobs_find_all_quantiles(spark, monkeypatch):
+    df = spark.range(0, 400_000, 1, 8).select((F.col("id") * 7919 % 400_003).alias("a"), F.sqrt("id").alias("b"))
+    jobs = []
+    first = type(df).first
+    monkeypatch.setattr(type(df), "first", lambda self: jobs.append("LocalTableScan" in plan_of(self)) or first(self))
+    got = quantiles.quantiles(df, ["a", "b"], GRID)
+    # What is asked of the sketches takes no job.
+    assert jobs.count(False) == 2
+    ids = np.arange(400_000)
+    assert got["a"] == pytest.approx(list(np.quantile(ids * 7919 % 400_003, GRID)), abs=1e-9)
+    assert got["b"] == pytest.approx(list(np.quantile(np.sqrt(ids), GRID)), abs=1e-9)
+
+
+def test_quantiles_of_integers_and_not_a_number(spark):
+    big = [2**53 + k for k in range(3000)]
+    rows = [(b, float("nan") if k % 100 == 0 else float(k), 1.5) for k, b in enumerate(big)]
+    got = quantiles.quantiles(spark.createDataFrame(rows, "a bigint, b double, c float"), ["a", "b", "c"], (0.0, 1.0), accuracy=64)
+    assert got["a"] == [big[0], big[-1]] and got["c"] == [1.5, 1.5]
+    assert got["b"][0] == 1.0 and math.isnan(got["b"][1])
+    with pytest.raises(TypeError):
+        quantiles.quantiles(spark.createDataFrame([("x",)], "s string"), ["s"], (0.5,))
+
+
 def test_trim_keeps_both_ends(spark):
     df = spark.range(101).select(F.col("id").cast("double").alias("v"))
     kept = [r.v for r in quantiles.trim_outliers(df, "v").orderBy("v").collect()]
