@@ -76,6 +76,11 @@ def key_filter(keys: DataFrame, *key: str, slots: int = FILTER_SLOTS) -> DataFra
     return stored(table, "filter")
 
 
+def filter_slots(n_keys: int, most: int = 1 << 26) -> int:
+    """Slots for a filter over so many keys that is mostly empty, up to ``most`` (8 MB)."""
+    return min(max(1 << (8 * n_keys).bit_length(), FILTER_SLOTS), most)
+
+
 def mark_possible(rows: DataFrame, table: DataFrame, flag: str, *key: Column, slots: int = FILTER_SLOTS) -> DataFrame:
     """Add boolean ``flag``: false where the filter rules the key out."""
     slot = F.pmod(F.xxhash64(*key), F.lit(slots))

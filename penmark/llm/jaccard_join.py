@@ -1,126 +1,118 @@
 """Similarity join on the Jaccard similarity of word n-grams, by vertical partitioning.
 
-The global order of n-grams is that of their 64-bit hashes, and it is cut into
-fragments. A document's set becomes one segment per fragment.
+The global order of n-grams is rarest first: n-grams known to be frequent come last, by
+their number, and all others stand in the order of their 64-bit hashes. The frequent ones
+are counted on a sample of one text in SAMPLE; the MOST_FREQUENT foremost are a table that every task has. Any
+order gives the same result, this one the fewest candidates: a passage that many
+documents share stands at the end, and documents meet in it only if they hold little else.
 
 * Equal sets are one class. Everything below works on classes.
-* Candidates: two linked sets differ in at most D n-grams, so in at most D segments;
-  the fragments are cut so fine that every set has more than D segments. Ordered by
-  size and hash of the segment, the first D + 1 segments of two linked sets have one
-  in common (the prefix argument, on segments). Segments of several n-grams rarely agree by chance,
-  so a passage that many documents share makes no candidates.
-* Classes with a segment in common are compared with one of them, the hub, not each
-  with each. A compared pair's overlap is counted for each of OVERLAP_FRAGMENTS ranges
-  of the order separately and summed per pair.
-* Linked pairs give components. Pairs whose classes meet in a segment but lie in
+* Candidates: of two linked sets each has at least its least share of n-grams in common with
+  the other, so the first n - ceil(share x n) + 1 n-grams of both in the global order
+  have one in common (the prefix argument). Where the first common one stands at places i
+  and j, nothing before it is common, so at most the smaller of n - i and m - j is; pairs
+  for which that is too little never meet (the positional argument).
+* Classes with such an n-gram in common are compared with one of them, the hub, not each
+  with each. For the comparison the hashes are cut into OVERLAP_FRAGMENTS fragments; a
+  pair's overlap is counted in each fragment separately and summed per pair.
+* Linked pairs give components. Pairs whose classes meet in an n-gram but lie in
   different components are compared as well, unless their distances to the hub differ
   by more than linked pairs can (Jaccard distance is a metric). So no link between
   components is missed, and the pairs inside a component are never listed.
 
-Fragments depend on the octave of a set's size; a set near the upper end of its
-octave also takes the next octave's, where its larger partners are. Sets of fewer
-than SMALL n-grams use single n-grams as segments. Should a set have too few
-segments, all is cut anew with another salt.
-
 Defined results. A document with fewer words than an n-gram has its whole sequence as
 its only n-gram. Without words, or with null text, its set is empty and it is linked
 with nothing. Null ids count as no id. Repeated rows are linked with one another. An
 empty table gives an empty table. Columns of other names are kept by ``keep_one_per_group``.
-Hashes of n-grams, segments and sets have 64 bits and are taken for what they stand for.
+Very long texts are hashed in slices; their n-grams are held as one array. Hashes of n-grams
+and sets have 64 bits and are taken for what they stand for.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from penmark.llm.common import join_groups, key_filter, mark_possible, stored
+from penmark.llm.common import filter_slots, join_groups, key_filter, mark_possible, stored
 from penmark.llm.components import connected_components
-from penmark.llm.shingles import hash_words, mixed, ngram_sets
+from penmark.llm.shingles import mixed, ngram_sets
 
 WORDS = 5
 THRESHOLD = (80, 100)
-SMALL = 16
-LEAST_FRAGMENTS = 32
+# One text in so many is read for the frequent n-grams; those seen so often there count as
+# frequent, the first MOST_FREQUENT of them.
+SAMPLE = 16
+LEAST_SEEN = 3
+MOST_FREQUENT = 1 << 18
 OVERLAP_FRAGMENTS = 4
 # Pairs of one hub that are compared in one place.
 HUB_PAIRS = 500
 
 
-class Cut:
-    """The segments a set is known by, for one threshold."""
-
-    def __init__(self, threshold: tuple[int, int]):
-        self.least = threshold[0] / threshold[1]
-        # Largest number of differing n-grams, as a share of a set's own size.
-        self.differing = (1 - self.least) / (1 + self.least) * (1 + 1 / self.least)
-        # N-grams per fragment such that a third more segments are filled than can differ.
-        fill = 0.25
-        while (1 - math.exp(-fill)) / fill > 1.35 * self.differing:
-            fill += 0.05
-        self.fill = fill
-
-    def prefix(self, size: int) -> int:
-        return int(self.differing * size + 1e-9) + 1
-
-    def schemes(self, size: int) -> list[int]:
-        """The octaves whose fragments the set takes; 0 is for single n-grams."""
-        own = size.bit_length() if size >= SMALL else 0
-        following = max(own + 1, SMALL.bit_length()) if own else SMALL.bit_length()
-        return [own, following] if size >= self.least * (1 << (following - 1)) else [own]
-
-    def fragments(self, scheme: int) -> int:
-        return max(LEAST_FRAGMENTS, math.ceil((1 << scheme) / self.fill))
-
-    def keys(self, ngrams: np.ndarray) -> tuple[np.ndarray, bool]:
-        """Segment keys of a sorted set, and whether there were enough segments."""
-        size, found, enough = len(ngrams), [], True
-        need = self.prefix(size)
-        spread = mixed(ngrams)
-        for scheme in self.schemes(size):
-            if not scheme:
-                found.append(np.sort(spread)[:need])
-                continue
-            fragment = ((ngrams >> np.uint64(32)) * np.uint64(self.fragments(scheme))) >> np.uint64(32)
-            starts = np.flatnonzero(np.diff(fragment, prepend=np.uint64(1 << 63)))
-            keys = mixed(np.add.reduceat(spread, starts) + np.uint64(scheme))
-            if len(keys) < need:
-                enough = False
-            filled = np.diff(starts, append=size)
-            found.append(keys[np.lexsort((keys, -filled))[:need]])
-        return np.concatenate(found).view(np.int64), enough
-
-
-def _sketch(id_type, n_words: int, threshold: tuple[int, int], salt: int):
-    names = ["id", "n", "class", "keys", "enough"]
-    kinds = [id_type, pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.bool_()]
+def prefix(size: int, threshold: tuple[int, int]) -> int:
+    """How many of a set's first n-grams one of every linked set's first ones is among."""
+    return size + threshold[0] * size // -threshold[1] + 1
+
+
+def keys(ngrams: np.ndarray, threshold: tuple[int, int], frequent: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The first n-grams of a sorted set in the global order, as hashes of their hashes."""
+    need = prefix(len(ngrams), threshold)
+    spread = mixed(ngrams)
+    known, level = frequent
+    if len(known):
+        at = np.searchsorted(known, ngrams)
+        at[at == len(known)] = 0
+        order = np.lexsort((spread, np.where(known[at] == ngrams, level[at], 0)))
+    else:
+        order = np.argsort(spread)
+    return spread[order[:need]].view(np.int64)
+
+
+def _sampled(n_words: int):
+    """Class and n-grams of every text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                sets = [g for g in ngram_sets(batch.column(0).slice(start, 256).to_pylist(), n_words) if len(g)]
+                held = pa.array([g.view(np.int64) for g in sets], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([pa.array([class_of(g) for g in sets], pa.int64()), held], ["class", "ngrams"])
+
+    return run
+
+
+def frequent_ngrams(docs: DataFrame, n_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes, sorted, and levels of the n-grams that many different sets of a sample have."""
+    sample = docs.where(F.pmod(F.xxhash64("text", F.lit(5)), F.lit(SAMPLE)) == 0)
+    sets = sample.select("text").mapInArrow(_sampled(n_words), "class bigint, ngrams array<bigint>").dropDuplicates(["class"])
+    counts = sets.select(F.explode("ngrams").alias("ngram")).groupBy("ngram").agg(F.count("*").alias("n"))
+    # MOST_FREQUENT rows at most, whatever the corpus.
+    rows = counts.where(F.col("n") >= LEAST_SEEN).orderBy(F.desc("n"), "ngram").limit(MOST_FREQUENT).collect()
+    known = np.array([r.ngram for r in rows], np.int64).view(np.uint64)
+    order = np.argsort(known)
+    return known[order], np.array([int(r.n).bit_length() for r in rows], np.uint8)[order]
+
+
+def _sketch(id_type, n_words: int, threshold: tuple[int, int], frequent):
+    names = ["id", "n", "class", "keys"]
+    kinds = [id_type, pa.int64(), pa.int64(), pa.list_(pa.int64())]
     schema = pa.schema(list(zip(names, kinds)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut = Cut(threshold)
         for batch in batches:
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
-                sizes, classes, keys, enough = [], [], [], []
-                for ngrams in ngram_sets(part.column(1).to_pylist(), n_words, salt):
+                sizes, classes, found = [], [], []
+                for ngrams in ngram_sets(part.column(1).to_pylist(), n_words):
                     sizes.append(len(ngrams))
-                    if not len(ngrams):
-                        classes.append(None)
-                        keys.append([])
-                        enough.append(True)
-                        continue
-                    classes.append(class_of(ngrams))
-                    found, filled = cut.keys(ngrams)
-                    keys.append(found)
-                    enough.append(filled)
-                columns = [part.column(0).to_pylist(), sizes, classes, keys, enough]
+                    classes.append(class_of(ngrams) if len(ngrams) else None)
+                    found.append(keys(ngrams, threshold, frequent.value) if len(ngrams) else [])
+                columns = [part.column(0).to_pylist(), sizes, classes, found]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], schema=schema)
 
     return run
@@ -132,7 +124,7 @@ def class_of(ngrams: np.ndarray) -> int:
     return int(mixed(np.array([content], np.uint64)).view(np.int64)[0])
 
 
-def _segments(n_words: int, salt: int):
+def _segments(n_words: int):
     """class, fragment and the segment's n-grams, for the overlap counts."""
     names = ["class", "fragment", "ngrams"]
 
@@ -140,7 +132,7 @@ def _segments(n_words: int, salt: int):
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 classes, fragments, held = [], [], []
-                for ngrams in ngram_sets(batch.column(0).slice(start, 256).to_pylist(), n_words, salt):
+                for ngrams in ngram_sets(batch.column(0).slice(start, 256).to_pylist(), n_words):
                     if not len(ngrams):
                         continue
                     own = class_of(ngrams)
@@ -165,27 +157,48 @@ def _overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(counts, pa.int64())], ["a", "b", "overlap"])
 
 
+def _fit(a: Column, b: Column) -> Column:
+    """Whether neither of two classes is larger than the other may be linked with."""
+    return (a["n"] <= b["reach"]) & (b["n"] <= a["reach"])
+
+
 class _Join:
     def __init__(self, docs: DataFrame, id_col: str, text_col: str, n_words: int, threshold: tuple[int, int]):
         self.docs, self.n_words, self.threshold = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")), n_words, threshold
         kind = docs.schema[id_col].dataType
-        schema = f"id {kind.simpleString()}, n bigint, class bigint, keys array<bigint>, enough boolean"
-        for self.salt in range(64):
-            sketch = _sketch(to_arrow_type(kind), n_words, threshold, self.salt)
-            self.sets = stored(self.docs.mapInArrow(sketch, schema), "sets")
-            if not self.sets.where("not enough").limit(1).count():
-                break
-        else:
-            raise RuntimeError("no salt gives every set enough segments")
+        schema = f"id {kind.simpleString()}, n bigint, class bigint, keys array<bigint>"
+        frequent = docs.sparkSession.sparkContext.broadcast(frequent_ngrams(self.docs, n_words))
+        self.sets = stored(self.docs.mapInArrow(_sketch(to_arrow_type(kind), n_words, threshold, frequent), schema), "sets")
+
+    def reach(self):
+        """The largest partner that a class may have whose first common n-gram is at this place."""
+        num, den = self.threshold
+        return F.floor((F.col("n") - F.col("pos")) * (num + den) / num + 1e-9) - F.col("n")
 
     def members(self) -> DataFrame:
-        """key, class, hub (smallest class with the key): classes that meet in a segment."""
-        uses = self.sets.select("class", F.explode("keys").alias("key"))
-        shared = uses.groupBy("key").agg(F.min("class").alias("hub"), F.max("class").alias("far"), F.count("*").alias("uses"))
-        shared = stored(shared.where("hub != far"), "shared-segments")
-        uses = mark_possible(uses, key_filter(shared, "key", slots=1 << 23), "possible", F.col("key"), slots=1 << 23)
-        uses = uses.where("possible").select("key", "class").distinct()
-        return stored(join_groups(uses, shared, "key", "uses", F.xxhash64("class")).where("hub is not null").drop("uses"), "members")
+        """key, class, n, reach: classes that meet in an n-gram of their prefixes and may be linked by
+        their sizes and the places of the n-gram; and two of them, ``hub`` (the smallest set) and ``far``."""
+        uses = self.sets.select("class", "n", F.posexplode("keys").alias("pos", "key"))
+        uses = uses.select("key", "class", "n", self.reach().alias("reach"))
+        shared = uses.groupBy("key").agg(
+            F.min("class").alias("low"), F.max("class").alias("high"), F.min("n").alias("least"), F.max("reach").alias("most"), F.count("*").alias("uses")
+        )
+        shared = stored(shared.where("low != high").drop("low", "high"), "shared-keys")
+        slots = filter_slots(shared.count())
+        uses = mark_possible(uses, key_filter(shared, "key", slots=slots), "possible", F.col("key"), slots=slots)
+        uses = uses.where("possible").drop("possible").distinct()
+        met = join_groups(uses, shared, "key", "uses", F.xxhash64("class")).where("least <= reach and n <= most")
+        met = stored(met.select("key", "class", "n", "reach"), "met")
+        one = lambda *first: F.struct(*first, *[c for c in ("class", "n", "reach") if c not in first])
+        ends = met.groupBy("key").agg(
+            F.min(one("n", "class")).alias("hub"), F.min(one("class")).alias("low"), F.max(one("class")).alias("high"), F.count("*").alias("uses")
+        )
+        hub = F.struct(*[F.col("hub")[c].alias(c) for c in ("class", "n", "reach")])
+        far = F.when(F.col("hub")["class"] == F.col("high")["class"], F.col("low")).otherwise(F.col("high"))
+        ends = ends.where(F.col("low")["class"] != F.col("high")["class"]).select("key", hub.alias("hub"), far.alias("far"), "uses")
+        # Of two classes it is known already whether they may be linked.
+        ends = stored(ends.where((F.col("uses") > 2) | _fit(F.col("hub"), F.col("far"))), "ends")
+        return stored(join_groups(met, ends, "key", "uses", F.xxhash64("class")).where("hub is not null").drop("uses"), "members")
 
     def prepare(self, members: DataFrame) -> None:
         """Sizes, and segments for overlap counts, of the classes in ``members``."""
@@ -195,7 +208,7 @@ class _Join:
         # Only the documents that stand for a class here are read again.
         docs = mark_possible(self.docs, key_filter(self.sizes, "id"), "possible", F.col("id"))
         docs = docs.where("possible").select("text")
-        segments = docs.mapInArrow(_segments(self.n_words, self.salt), "class bigint, fragment int, ngrams binary")
+        segments = docs.mapInArrow(_segments(self.n_words), "class bigint, fragment int, ngrams binary")
         needed = segments.join(self.sizes.select("class"), "class", "left_semi")
         self.segments = stored(needed.dropDuplicates(["class", "fragment"]), "segments")
 
@@ -229,11 +242,14 @@ class _Join:
         """class, component of the classes that are linked with another one."""
         members = self.members()
         self.prepare(members)
-        stars = [members.select(F.col("class").alias("a"), F.col(hub).alias("b")).where("a != b") for hub in ("hub", "far")]
+        stars = []
+        for end in (F.col("hub"), F.col("far")):
+            may = _fit(F.struct("n", "reach"), end) & (F.col("class") != end["class"])
+            stars.append(members.where(may).select(F.col("class").alias("a"), end["class"].alias("b")))
         compared = self.compare(stored(stars[0].distinct(), "star"))
         links = compared.where("linked")
         found = connected_components(links)
-        # Again with the other end of each segment's classes, where the star left components apart.
+        # Again with the other end of each key's classes, where the star left components apart.
         apart = stored(_across(stars[1].distinct(), found), "star")
         if apart.limit(1).count():
             links = links.union(self.compare(apart).where("linked"))
@@ -244,25 +260,27 @@ class _Join:
         return found
 
     def _between(self, members: DataFrame, found: DataFrame, compared: DataFrame) -> DataFrame:
-        """Pairs that meet in a segment, lie in different components and may still be linked."""
-        labelled = members.join(found.withColumnRenamed("node", "class"), "class", "left")
+        """Pairs that meet in a key, lie in different components and may still be linked."""
+        slim = members.select("key", "class", "n", "reach", F.col("hub")["class"].alias("hub"))
+        labelled = slim.join(found.withColumnRenamed("node", "class"), "class", "left")
         labelled = labelled.withColumn("component", F.coalesce("component", "class"))
-        split = labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y")
-        rows = stored(labelled.join(split.select("key"), "key", "left_semi"), "split-segments")
         distance = compared.select(F.col("a").alias("class"), F.col("b").alias("hub"), "distance")
-        rows = rows.join(distance, ["class", "hub"], "left").withColumn(
+        rows = labelled.join(distance, ["class", "hub"], "left").withColumn(
             "distance", F.when(F.col("class") == F.col("hub"), 0.0).otherwise(F.col("distance"))
         )
-        rows = stored(rows.join(self.sizes.select("class", "n"), "class"), "split-segments")
-        sides = rows.select("key", "component").distinct()
-        sides = sides.join(sides.withColumnRenamed("component", "other"), "key").where("component < other")
-        left = rows.select("key", "component", F.col("class").alias("a"), F.col("distance").alias("d_a"), F.col("n").alias("n_a"))
-        right = rows.select("key", F.col("component").alias("other"), F.col("class").alias("b"), F.col("distance").alias("d_b"), F.col("n").alias("n_b"))
+        rows = stored(rows, "labelled-keys")
+        sides = rows.groupBy("key", "component").agg(F.min("n").alias("n"), F.max("reach").alias("reach"))
+        others = sides.select("key", F.col("component").alias("other"), F.col("n").alias("n_b"), F.col("reach").alias("r_b"))
+        fits = (F.col("component") < F.col("other")) & (F.col("n") <= F.col("r_b")) & (F.col("n_b") <= F.col("reach"))
+        side = sides.join(others, "key").where(fits).select("key", "component", "other")
+        of = lambda x: [F.col("class").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("distance", "n", "reach")]]
+        left = rows.select("key", "component", *of("a"))
+        right = rows.select("key", F.col("component").alias("other"), *of("b"))
         least = self.threshold[0] / self.threshold[1]
-        may = (F.least("n_a", "n_b") >= least * F.greatest("n_a", "n_b") - 1e-9) & F.coalesce(
-            F.abs(F.col("d_a") - F.col("d_b")) <= 1 - least + 1e-9, F.lit(True)
+        may = (F.col("n_a") <= F.col("reach_b")) & (F.col("n_b") <= F.col("reach_a")) & F.coalesce(
+            F.abs(F.col("distance_a") - F.col("distance_b")) <= 1 - least + 1e-9, F.lit(True)
         )
-        pairs = sides.join(left, ["key", "component"]).join(right, ["key", "other"]).where(may)
+        pairs = side.join(left, ["key", "component"]).join(right, ["key", "other"]).where(may)
         return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 

@@ -92,14 +92,30 @@ def test_large_group_of_near_copies(spark):
     assert joined(documents(spark, rows), 4, (85, 100)) == by_brute_force([r[:2] for r in rows], 4, (85, 100))
 
 
-def test_sets_have_enough_segments():
+def test_prefixes_of_linked_sets_meet():
     rng = np.random.default_rng(0)
-    for threshold in ((80, 100), (85, 100), (50, 100)):
-        cut = jj.Cut(threshold)
-        for size in [*range(1, 200), 500, 1000, 5000]:
-            ngrams = np.sort(rng.integers(0, 1 << 63, size, dtype=np.uint64) * 2)
-            keys, enough = cut.keys(ngrams)
-            assert len(keys) >= cut.prefix(size) or not enough or size < cut.prefix(size)
+    for threshold in ((80, 100), (85, 100), (50, 100), (100, 100)):
+        for size in [*range(1, 60), 200, 1000]:
+            some = np.unique(rng.integers(0, 1 << 63, 2 * size + 5, dtype=np.uint64) * 2)
+            known = np.sort(rng.choice(some, size))
+            frequent = (known, rng.integers(1, 9, len(known)).astype(np.uint8))
+            for order in (frequent, (known[:0], frequent[1][:0])):
+                a = np.sort(some[rng.permutation(len(some))[:size]])
+                gone = rng.integers(0, size + 1)
+                b = np.unique(np.concatenate([a[rng.permutation(size)[: size - gone]], rng.choice(some, gone)]))
+                both = len(np.intersect1d(a, b))
+                linked = len(b) and threshold[1] * both >= threshold[0] * (len(a) + len(b) - both)
+                met = len(b) and len(np.intersect1d(jj.keys(a, threshold, order), jj.keys(b, threshold, order)))
+                assert met or not linked
+
+
+def test_frequent_ngrams_come_last(spark, monkeypatch):
+    """Documents that share a passage and little else are no candidates."""
+    monkeypatch.setattr(jj, "SAMPLE", 1)
+    passage = " ".join(f"p{i}" for i in range(100))
+    rows = [(i, passage + " " + " ".join(f"own{i}x{j}" for j in range(120)), "s") for i in range(60)]
+    join = jj._Join(documents(spark, rows), "doc_id", "text", 5, (80, 100))
+    assert join.members().count() == 0
 
 
 def test_words_hash_alike_wherever_they_stand():
