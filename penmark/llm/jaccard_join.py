@@ -31,6 +31,7 @@ and sets have 64 bits and are taken for what they stand for.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -167,6 +168,7 @@ class _Join:
         self.docs, self.n_words, self.threshold = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")), n_words, threshold
         kind = docs.schema[id_col].dataType
         schema = f"id {kind.simpleString()}, n bigint, class bigint, keys array<bigint>"
+        self.sizes = self.segments = None
         frequent = docs.sparkSession.sparkContext.broadcast(frequent_ngrams(self.docs, n_words))
         self.sets = stored(self.docs.mapInArrow(_sketch(to_arrow_type(kind), n_words, threshold, frequent), schema), "sets")
 
@@ -200,17 +202,23 @@ class _Join:
         ends = stored(ends.where((F.col("uses") > 2) | _fit(F.col("hub"), F.col("far"))), "ends")
         return stored(join_groups(met, ends, "key", "uses", F.xxhash64("class")).where("hub is not null").drop("uses"), "members")
 
-    def prepare(self, members: DataFrame) -> None:
-        """Sizes, and segments for overlap counts, of the classes in ``members``."""
-        wanted = members.select("class").distinct()
+    def prepare(self, *pairs: DataFrame) -> None:
+        """Sizes, and segments for overlap counts, of the classes in the pairs that have none yet."""
+        ends = [p.select(F.col(c).alias("class")) for p in pairs for c in ("a", "b")]
+        wanted = reduce(DataFrame.union, ends).distinct()
+        if self.sizes is not None:
+            wanted = wanted.join(self.sizes, "class", "left_anti")
         classes = self.sets.where("class is not null").groupBy("class").agg(F.min("id").alias("id"), F.first("n").alias("n"))
-        self.sizes = stored(classes.join(wanted, "class"), "sizes")
+        sizes = stored(classes.join(wanted, "class"), "sizes")
         # Only the documents that stand for a class here are read again.
-        docs = mark_possible(self.docs, key_filter(self.sizes, "id"), "possible", F.col("id"))
+        slots = filter_slots(sizes.count())
+        docs = mark_possible(self.docs, key_filter(sizes, "id", slots=slots), "possible", F.col("id"), slots=slots)
         docs = docs.where("possible").select("text")
         segments = docs.mapInArrow(_segments(self.n_words), "class bigint, fragment int, ngrams binary")
-        needed = segments.join(self.sizes.select("class"), "class", "left_semi")
-        self.segments = stored(needed.dropDuplicates(["class", "fragment"]), "segments")
+        needed = segments.join(sizes.select("class"), "class", "left_semi")
+        segments = stored(needed.dropDuplicates(["class", "fragment"]), "segments")
+        self.sizes = sizes if self.sizes is None else self.sizes.union(sizes)
+        self.segments = segments if self.segments is None else self.segments.union(segments)
 
     def compare(self, pairs: DataFrame) -> DataFrame:
         """a, b, distance of the pairs whose sizes allow half the similarity asked for, or a link."""
@@ -241,21 +249,23 @@ class _Join:
     def links(self) -> DataFrame:
         """class, component of the classes that are linked with another one."""
         members = self.members()
-        self.prepare(members)
         stars = []
         for end in (F.col("hub"), F.col("far")):
             may = _fit(F.struct("n", "reach"), end) & (F.col("class") != end["class"])
             stars.append(members.where(may).select(F.col("class").alias("a"), end["class"].alias("b")))
-        compared = self.compare(stored(stars[0].distinct(), "star"))
+        stars = [stored(star.distinct(), "star") for star in stars]
+        self.prepare(*stars)
+        compared = self.compare(stars[0])
         links = compared.where("linked")
         found = connected_components(links)
         # Again with the other end of each key's classes, where the star left components apart.
-        apart = stored(_across(stars[1].distinct(), found), "star")
+        apart = stored(_across(stars[1], found), "star")
         if apart.limit(1).count():
             links = links.union(self.compare(apart).where("linked"))
             found = connected_components(links)
         rest = stored(self._between(members, found, compared), "rest")
         if rest.limit(1).count():
+            self.prepare(rest)
             found = connected_components(links.union(self.compare(rest).where("linked")))
         return found
 
