@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,19 +24,53 @@ HOT_GROUPS = 1000
 FILTER_SLOTS = 1 << 20
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder that the driver and all executors reach."""
-    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+# Shuffle files are deleted when the execution that wrote them has ended.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+# The folder of the innermost ``discarding`` block.
+_discarded: ContextVar[str | None] = ContextVar("discarded", default=None)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder that the driver and all executors reach."""
+    base = _discarded.get() or f"{shared_dir(spark)}/{spark.sparkContext.applicationId}"
+    return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def discarding(spark: SparkSession) -> Iterator[None]:
+    """Tables ``stored`` in the block are deleted at its end; what it leaves has a path from outside."""
+    folder = scratch(spark, "steps")
+    token = _discarded.set(folder)
+    try:
+        yield
+    finally:
+        _discarded.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def _shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, True)
+    try:
+        yield
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
+def stored(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """The frame written to the shared folder and read again.
 
-    Cuts the lineage: a lost executor costs the tasks it ran, not what was written.
+    Cuts the lineage: a lost executor costs the tasks it ran, not what was written. As
+    later steps read the table, the shuffles that made it are freed at once.
     """
-    path = scratch(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = path or scratch(spark, name)
+    with _shuffles_freed(spark):
+        df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def stored_by(df: DataFrame, name: str, key: str) -> DataFrame:
@@ -42,7 +79,8 @@ def stored_by(df: DataFrame, name: str, key: str) -> DataFrame:
     table = f"{name}_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     writer = df.write.option("compression", "zstd").option("path", scratch(spark, name))
-    writer.bucketBy(buckets, key).format("parquet").saveAsTable(table)
+    with _shuffles_freed(spark):
+        writer.bucketBy(buckets, key).format("parquet").saveAsTable(table)
     return spark.table(table)
 
 

@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from penmark.llm.common import filter_slots, join_groups, key_filter, mark_possible, stored
+from penmark.llm.common import discarding, filter_slots, join_groups, key_filter, mark_possible, scratch, stored
 from penmark.llm.components import connected_components
 from penmark.llm.shingles import mixed, ngram_sets
 
@@ -178,6 +178,11 @@ class _Join:
         return F.floor((F.col("n") - F.col("pos")) * (num + den) / num + 1e-9) - F.col("n")
 
     def members(self) -> DataFrame:
+        path = scratch(self.sets.sparkSession, "members")
+        with discarding(self.sets.sparkSession):
+            return stored(self._members(), "members", path)
+
+    def _members(self) -> DataFrame:
         """key, class, n, reach: classes that meet in an n-gram of their prefixes and may be linked by
         their sizes and the places of the n-gram; and two of them, ``hub`` (the smallest set) and ``far``."""
         uses = self.sets.select("class", "n", F.posexplode("keys").alias("pos", "key"))
@@ -200,7 +205,7 @@ class _Join:
         ends = ends.where(F.col("low")["class"] != F.col("high")["class"]).select("key", hub.alias("hub"), far.alias("far"), "uses")
         # Of two classes it is known already whether they may be linked.
         ends = stored(ends.where((F.col("uses") > 2) | _fit(F.col("hub"), F.col("far"))), "ends")
-        return stored(join_groups(met, ends, "key", "uses", F.xxhash64("class")).where("hub is not null").drop("uses"), "members")
+        return join_groups(met, ends, "key", "uses", F.xxhash64("class")).where("hub is not null").drop("uses")
 
     def prepare(self, *pairs: DataFrame) -> None:
         """Sizes, and segments for overlap counts, of the classes in the pairs that have none yet."""
@@ -248,6 +253,11 @@ class _Join:
 
     def links(self) -> DataFrame:
         """class, component of the classes that are linked with another one."""
+        path = scratch(self.sets.sparkSession, "linked")
+        with discarding(self.sets.sparkSession):
+            return stored(self._links(), "linked", path)
+
+    def _links(self) -> DataFrame:
         members = self.members()
         stars = []
         for end in (F.col("hub"), F.col("far")):
