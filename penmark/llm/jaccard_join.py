@@ -53,6 +53,8 @@ MOST_FREQUENT = 1 << 18
 OVERLAP_FRAGMENTS = 4
 # Pairs of one hub that are compared in one place.
 HUB_PAIRS = 500
+# A pair on its way through the fragments: sizes, and n-grams seen so far, of both and in common.
+PAIR = ["a", "b", "place", "n_a", "n_b", "overlap", "seen_a", "seen_b"]
 
 
 def prefix(size: int, threshold: tuple[int, int]) -> int:
@@ -147,15 +149,22 @@ def _segments(n_words: int):
     return run
 
 
-def _overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Partial overlap of two segments."""
+def _add_overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs with the overlap of their two segments, and these segments' sizes, added to what they had."""
     for batch in batches:
-        counts = []
-        for x, y in zip(batch.column(2), batch.column(3)):
-            both = np.concatenate([np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)])
-            both.sort(kind="stable")
-            counts.append(int(np.count_nonzero(both[1:] == both[:-1])))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(counts, pa.int64())], ["a", "b", "overlap"])
+        both, of_a, of_b = [], [], []
+        for x, y in zip(batch.column("ngrams"), batch.column("others")):
+            x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+            every = np.concatenate([x, y])
+            every.sort(kind="stable")
+            both.append(int(np.count_nonzero(every[1:] == every[:-1])))
+            of_a.append(len(x))
+            of_b.append(len(y))
+        added = {"overlap": both, "seen_a": of_a, "seen_b": of_b}
+        summed = [
+            pa.array(batch.column(c).to_numpy() + np.array(added[c], np.int64)) if c in added else batch.column(c) for c in PAIR
+        ]
+        yield pa.RecordBatch.from_arrays(summed, PAIR)
 
 
 def _fit(a: Column, b: Column) -> Column:
@@ -225,9 +234,14 @@ class _Join:
         self.sizes = sizes if self.sizes is None else self.sizes.union(sizes)
         self.segments = segments if self.segments is None else self.segments.union(segments)
 
-    def compare(self, pairs: DataFrame) -> DataFrame:
-        """a, b, distance of the pairs whose sizes allow half the similarity asked for, or a link."""
-        least = max(0.0, 2 * self.threshold[0] / self.threshold[1] - 1)
+    def compare(self, pairs: DataFrame, distances: bool = False) -> DataFrame:
+        """a, b, distance, linked of the pairs whose sizes allow half the similarity asked for, or a link.
+
+        One job per fragment, which frees its shuffles before the next one. Pairs that cannot
+        be linked any more, whatever the fragments to come hold, go, unless ``distances`` are asked for.
+        """
+        num, den = self.threshold
+        least = max(0.0, 2 * num / den - 1)
         n_a = self.sizes.select(F.col("class").alias("a"), F.col("n").alias("n_a"))
         n_b = self.sizes.select(F.col("class").alias("b"), F.col("n").alias("n_b"))
         per_hub = stored(pairs.groupBy("b").agg(F.count("*").alias("pairs")), "pairs-per-hub")
@@ -235,21 +249,18 @@ class _Join:
         near = near.where(F.least("n_a", "n_b") >= least * F.greatest("n_a", "n_b"))
         # A hub's segments are laid out once for every HUB_PAIRS pairs it is in.
         near = near.withColumn("place", F.pmod(F.xxhash64("a", F.lit(3)), F.ceil(F.col("pairs") / HUB_PAIRS)))
-        near = stored(near.drop("pairs"), "pairs")
-        left = near.select("a", "b", "place").join(self.segments.withColumnRenamed("class", "a"), "a")
-        right = self.segments.withColumnRenamed("class", "b").join(per_hub, "b")
-        right = right.withColumn("place", F.explode(F.sequence(F.lit(0).cast("bigint"), F.ceil(F.col("pairs") / HUB_PAIRS) - 1)))
-        met = left.join(right.withColumnRenamed("ngrams", "others"), ["b", "fragment", "place"])
-        counted = met.select("a", "b", "ngrams", "others").mapInArrow(_overlap, "a bigint, b bigint, overlap bigint")
-        summed = counted.groupBy("a", "b").agg(F.sum("overlap").alias("overlap")).join(near.drop("place"), ["a", "b"])
+        zero = F.lit(0).cast("bigint")
+        near = stored(near.drop("pairs").withColumns({"overlap": zero, "seen_a": zero, "seen_b": zero}).select(PAIR), "pairs")
+        schema = ", ".join(f"{c} bigint" for c in PAIR)
+        most = F.col("overlap") + F.least(F.col("n_a") - F.col("seen_a"), F.col("n_b") - F.col("seen_b"))
+        for k in range(OVERLAP_FRAGMENTS):
+            part = self.segments.where(F.col("fragment") == k).drop("fragment")
+            left = near.join(part.withColumnRenamed("class", "a"), "a")
+            right = near.select("b", "place").distinct().join(part.select(F.col("class").alias("b"), F.col("ngrams").alias("others")), "b")
+            summed = left.join(right, ["b", "place"]).select(*PAIR, "ngrams", "others").mapInArrow(_add_overlap, schema)
+            near = stored(summed if distances else summed.where(den * most >= num * (F.col("n_a") + F.col("n_b") - most)), "pairs")
         union = F.col("n_a") + F.col("n_b") - F.col("overlap")
-        num, den = self.threshold
-        return stored(
-            summed.select(
-                "a", "b", (1 - F.col("overlap") / union).alias("distance"), (den * F.col("overlap") >= num * union).alias("linked")
-            ),
-            "compared",
-        )
+        return near.select("a", "b", (1 - F.col("overlap") / union).alias("distance"), (den * F.col("overlap") >= num * union).alias("linked"))
 
     def links(self) -> DataFrame:
         """class, component of the classes that are linked with another one."""
@@ -265,7 +276,7 @@ class _Join:
             stars.append(members.where(may).select(F.col("class").alias("a"), end["class"].alias("b")))
         stars = [stored(star.distinct(), "star") for star in stars]
         self.prepare(*stars)
-        compared = self.compare(stars[0])
+        compared = self.compare(stars[0], distances=True)
         links = compared.where("linked")
         found = connected_components(links)
         # Again with the other end of each key's classes, where the star left components apart.

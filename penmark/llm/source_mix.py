@@ -39,6 +39,8 @@ WEIGHTS = 3
 # Rows that one task orders to find their places, and slots made from one row.
 BUCKET_ROWS = 5_000
 SLOT_CHUNK = 8192
+# Tasks that make slots, at most.
+SLOT_TASKS = 1 << 14
 
 
 def permuted(index: Column, size: Column, *key: Column, inverse: bool = False) -> Column:
@@ -141,7 +143,9 @@ def slots(sources: DataFrame, seed: int = SEED) -> DataFrame:
     chunks = taking.select("source_key", "slots_start", "slots_end", "blocks", chunk.alias("first"))
     total = sources.agg(F.max("slots_end")).first()[0] or 0
     last = F.least(F.col("first") + SLOT_CHUNK, F.col("slots_end") - F.col("slots_start")) - 1
-    dealt = chunks.repartition("source_key", "first").select(
+    # Chunks are small rows for many slots: a stated number of tasks, which re-planning leaves alone.
+    tasks = min(total // SLOT_CHUNK + 1, SLOT_TASKS)
+    dealt = chunks.repartition(tasks, "source_key", "first").select(
         "source_key", "slots_start", "blocks", F.explode(F.sequence("first", last)).alias("n")
     )
     out = permuted(F.col("slots_start") + F.col("n"), F.lit(total).cast("bigint"), F.lit(seed))

@@ -38,6 +38,8 @@ from penmark.llm.common import join_groups, key_filter, mark_possible, scratch,
 
 MIN_REVISIT = 1000
 ARCHIVE_BYTES = 256 << 20
+# Tasks that read archives, at most.
+READ_TASKS = 1 << 14
 CHUNK = 1 << 18
 BATCH_BYTES = 8 << 20
 BATCH_ROWS = 2000
@@ -259,7 +261,9 @@ def _read_batches(with_payload: bool):
 
 def read_archives(spark: SparkSession, archives: DataFrame, with_payload: bool = True) -> DataFrame:
     """One row per record of the archives named in column ``path``."""
-    paths = archives.select("path").repartition(F.col("path"))
+    # Paths are small rows for much reading: a stated number of tasks, which re-planning leaves alone.
+    tasks = min(max(archives.count(), 1), READ_TASKS)
+    paths = archives.select("path").repartition(tasks, F.col("path"))
     return paths.mapInArrow(
         _read_batches(with_payload),
         "key string, record_type string, target_uri string, refers_to string, payload_digest string, "
