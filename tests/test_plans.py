@@ -57,3 +57,20 @@ def test_one_word_in_a_third_of_all_places(spark):
     assert got["hot"] == 3000 and sum(got.values()) == 6000
     stats = {r.term: (r.cf, r.df) for r in tfidf.vocabulary(rows, 51, 2).collect()}
     assert stats["hot"] == (3000, 3000) and stats["w7"] == (60, 60)
+
+
+@pytest.mark.parametrize("name", ["a3_word_count", "a7_feature_means", "a8_idf", "a9_vocabulary", "t1_top_20_words", "t3_sorted_word_count", "s5_word_count_csv"])
+def test_words_are_counted_without_storing_the_corpus(name, spark, sf, tmp_path, monkeypatch):
+    written = []
+    monkeypatch.setattr(catalog.stages, "write_table", lambda df, path, *a: written.append(path))
+    monkeypatch.setattr(catalog.corpus, "write_table", lambda df, path, *a: written.append(path))
+    monkeypatch.setattr(catalog.Stored, "_made", {})
+    assert catalog.registered()[name](spark, sf).columns and not written
+
+
+def test_streamed_lines_are_compared_by_digest(spark, sf, monkeypatch):
+    """Grouping and joining by the text itself shuffled every line three times."""
+    texts = spark.createDataFrame([("a", 1.0), ("a", 1.0), ("b", 0.0)], "text string, prediction double")
+    monkeypatch.setattr(catalog, "_scored_stream", lambda spark, sf: texts)
+    plan = plan_of(catalog.x3_stream_equals_batch(spark, sf))
+    assert re.findall(r"Exchange hashpartitioning\((\w+)#", plan) == ["line"] and "Join" not in plan
