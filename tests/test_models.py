@@ -8,6 +8,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from penmark.operators import classify, evaluation, model_tables, projection, tfidf
 from penmark.plans import catalog, stages
 from penmark.sources import corpus
+from tests.conftest import plan_of
 
 SMALL = (classify.LOGISTIC_REGRESSION, classify.LINEAR_SVM)
 
@@ -197,6 +198,15 @@ def test_wrong_rules_are_noticed(spark, fitted):
     assert other != pytest.approx(own)
 
 
+def test_a_vector_meets_the_rules_of_a_tree_once(spark, fitted):
+    """Ten levels took eleven joins, each of which copied every vector for every tree."""
+    name = classify.RANDOM_FOREST
+    forest, key = fitted.models(name)[name].stages[-1], stages.row_key(fitted.vectors)
+    nodes = model_tables.node_table(spark, fitted.ws.model(name), forest)
+    plan = plan_of(model_tables.forest_margins(fitted.vectors, nodes, forest.getNumTrees, 10, *key))
+    assert plan.count("BroadcastHashJoin") == 1
+
+
 def test_sparse_and_dense_vectors_meet_the_same_weights(spark, fitted):
     model = fitted.models(SMALL[0])[SMALL[0]].stages[-1]
     width = model.numFeatures
