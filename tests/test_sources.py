@@ -127,3 +127,34 @@ def test_derived_corpus_exercises_the_rules(spark, sf, corpus_rows):
 
 def test_shared_folder_comes_from_the_session(spark):
     assert session.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+
+
+def last_plan(spark):
+    executed = spark._jsparkSession.sharedState().statusStore().executionsList()
+    return executed.apply(executed.size() - 1).physicalPlanDescription()
+
+
+def test_partitions_are_written_without_sorting_the_rows(spark, tmp_path):
+    """A sort by partition holds and spills whole texts."""
+    rows = [(i, *[f"{i} {c}" for c in corpus.TEXT_COLUMNS], corpus.GENERATION_METHODS[i % 3] if i % 4 else None) for i in range(40)]
+    df = spark.createDataFrame(rows, T.StructType([*corpus.WIDE_SCHEMA, T.StructField("generation_method", T.StringType())])).repartition(2)
+    table = corpus.write_table(df, f"{tmp_path}/t", partition_by="generation_method")
+    assert "Sort" not in last_plan(spark)
+    assert sorted(map(str, table.collect())) == sorted(map(str, df.collect()))
+    corpus.write_wide_csv(df, f"{tmp_path}/csv", partition_by="generation_method")
+    assert "Sort" not in last_plan(spark)
+    assert spark.conf.get(corpus.OPEN_FILES, None) in (None, "0")
+
+
+def test_more_partitions_than_open_files_are_all_written(spark, tmp_path):
+    df = spark.range(0, 400, 1, 2).selectExpr("id", "id % 25 AS part")
+    table = corpus.write_table(df, f"{tmp_path}/t", partition_by="part")
+    assert sorted((r.id, r.part) for r in table.collect()) == [(i, i % 25) for i in range(400)]
+
+
+def test_every_core_has_as_many_tasks(spark, tmp_path):
+    spark.range(20000).selectExpr("id", "md5(string(id)) AS text").coalesce(1).write.parquet(f"{tmp_path}/t")
+    cores = spark.sparkContext.defaultParallelism
+    for parts in (3, 7, 20):
+        size = sum(p.stat().st_size for p in (tmp_path / "t").iterdir() if p.name.startswith("part-"))
+        assert corpus.tasks_for(spark, f"{tmp_path}/t", size // parts) % cores == 0
