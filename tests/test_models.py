@@ -5,6 +5,7 @@ from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
+from penmark.functions import text as tx
 from penmark.operators import classify, evaluation, model_tables, projection, tfidf
 from penmark.plans import catalog, stages
 from penmark.sources import corpus
@@ -265,3 +266,25 @@ def test_worse_boundaries_are_noticed(spark):
             return model.getRegParam()
 
     assert projection.better_lines(points, Shifted()).first().n_better > 0
+
+
+def test_tokens_are_stored_as_lines_and_read_as_arrays(spark, tmp_path):
+    texts = [(1, "بيت كبير جدا بيت"), (2, None), (3, "x"), (4, "علم")]
+    rows = spark.createDataFrame(texts, "doc_id long, text string").selectExpr("doc_id", "'original' AS generator", "'human' AS label", "text")
+    ws = stages.Workspace(str(tmp_path))
+    table = stages.build_features(tx.prepare(rows), ws)
+    expected = {1: ["بيت", "كبير", "جدا", "بيت"], 2: [], 3: [], 4: ["علم"]}
+    for read in (table, stages.open_table(spark, ws, "features")):
+        assert dict(read.dtypes)["tokens"] == "array<string>"
+        assert {r.doc_id: r.tokens for r in read.collect()} == expected
+    assert dict(spark.read.parquet(ws.table("features")).dtypes)["tokens"] == "string"
+
+
+@pytest.mark.parametrize("name", ["m1_count_vectorizer", "m2_idf"])
+def test_weights_of_terms_need_no_stored_vectors(name, spark, sf, monkeypatch):
+    monkeypatch.setattr(catalog.Stored, "_made", {})
+    written, write = [], corpus.write_table
+    for module in (stages, corpus):
+        monkeypatch.setattr(module, "write_table", lambda df, path, *a, **k: written.append(path.rsplit("/", 1)[1]) or write(df, path, *a, **k))
+    assert catalog.registered()[name](spark, sf).count() == 1000
+    assert "vectors" not in written
