@@ -12,13 +12,17 @@ documents share stands at the end, and documents meet in it only if they hold li
   have one in common (the prefix argument). Where the first common one stands at places i
   and j, nothing before it is common, so at most the smaller of n - i and m - j is; pairs
   for which that is too little never meet (the positional argument).
-* Classes with such an n-gram in common are compared with one of them, the hub, not each
-  with each. For the comparison the hashes are cut into OVERLAP_FRAGMENTS fragments; a
+* Every class has BITS bits, each the parity of its n-grams that fall on it. Bits that differ
+  between two classes stand for different n-grams of theirs, so pairs with more of them than
+  linked pairs have different n-grams go before any n-grams are laid out (the bitmap argument).
+* Classes with such an n-gram in common are compared with two of them, the hub and the far end,
+  not each with each. For the comparison the hashes are cut into OVERLAP_FRAGMENTS fragments; a
   pair's overlap is counted in each fragment separately and summed per pair.
 * Linked pairs give components. Pairs whose classes meet in an n-gram but lie in
-  different components are compared as well, unless their distances to the hub differ
-  by more than linked pairs can (Jaccard distance is a metric). So no link between
-  components is missed, and the pairs inside a component are never listed.
+  different components are compared as well, if their bits allow a link. So no link between
+  components is missed, and the pairs inside a component are never listed. Where an n-gram
+  has many classes, further ones of them first meet all others, as long as that links
+  many. The rest is dealt in blocks; the blocks meet two by two, in different tasks.
 
 Defined results. A document with fewer words than an n-gram has its whole sequence as
 its only n-gram. Without words, or with null text, its set is empty and it is linked
@@ -53,6 +57,14 @@ MOST_FREQUENT = 1 << 18
 OVERLAP_FRAGMENTS = 4
 # Pairs of one hub that are compared in one place.
 HUB_PAIRS = 500
+# Parities kept of a set, in words of 64. They tell sets of more than about twice as many n-grams little.
+BITS = 1024
+# N-grams with classes apart for several blocks get so many further hubs at most, one by one, while
+# this share of the pairs with them that bits allow is linked.
+MORE_HUBS = 8
+LINKED_SHARE = 0.1
+# Classes of one n-gram that meet those of another block in one place.
+BLOCK_CLASSES = 256
 # A pair on its way through the fragments: sizes, and n-grams seen so far, of both and in common.
 PAIR = ["a", "b", "place", "n_a", "n_b", "overlap", "seen_a", "seen_b"]
 
@@ -102,20 +114,21 @@ def frequent_ngrams(docs: DataFrame, n_words: int) -> tuple[np.ndarray, np.ndarr
 
 
 def _sketch(id_type, n_words: int, threshold: tuple[int, int], frequent):
-    names = ["id", "n", "class", "keys"]
-    kinds = [id_type, pa.int64(), pa.int64(), pa.list_(pa.int64())]
+    names = ["id", "n", "class", "bits", "keys"]
+    kinds = [id_type, pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
     schema = pa.schema(list(zip(names, kinds)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
-                sizes, classes, found = [], [], []
+                sizes, classes, bits, found = [], [], [], []
                 for ngrams in ngram_sets(part.column(1).to_pylist(), n_words):
                     sizes.append(len(ngrams))
                     classes.append(class_of(ngrams) if len(ngrams) else None)
+                    bits.append(parities(ngrams) if len(ngrams) else None)
                     found.append(keys(ngrams, threshold, frequent.value) if len(ngrams) else [])
-                columns = [part.column(0).to_pylist(), sizes, classes, found]
+                columns = [part.column(0).to_pylist(), sizes, classes, bits, found]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], schema=schema)
 
     return run
@@ -127,6 +140,12 @@ def class_of(ngrams: np.ndarray) -> int:
     return int(mixed(np.array([content], np.uint64)).view(np.int64)[0])
 
 
+def parities(ngrams: np.ndarray) -> np.ndarray:
+    """Whether an odd number of the n-grams falls on each of BITS places, as words."""
+    odd = np.bincount((ngrams & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64)
+
+
 def _segments(n_words: int):
     """class, fragment and the segment's n-grams, for the overlap counts."""
     names = ["class", "fragment", "ngrams"]
@@ -172,11 +191,19 @@ def _fit(a: Column, b: Column) -> Column:
     return (a["n"] <= b["reach"]) & (b["n"] <= a["reach"])
 
 
+def _bits_fit(threshold: tuple[int, int]) -> Column:
+    """Whether the bits of the pair's classes differ in no more places than linked sets have different n-grams."""
+    num, den = threshold
+    words = [F.bit_count(F.col("bits_a")[k].bitwiseXOR(F.col("bits_b")[k])) for k in range(BITS // 64)]
+    differ = reduce(Column.__add__, words).cast("bigint")
+    return (den + num) * differ <= (den - num) * (F.col("n_a") + F.col("n_b"))
+
+
 class _Join:
     def __init__(self, docs: DataFrame, id_col: str, text_col: str, n_words: int, threshold: tuple[int, int]):
         self.docs, self.n_words, self.threshold = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")), n_words, threshold
         kind = docs.schema[id_col].dataType
-        schema = f"id {kind.simpleString()}, n bigint, class bigint, keys array<bigint>"
+        schema = f"id {kind.simpleString()}, n bigint, class bigint, bits array<bigint>, keys array<bigint>"
         self.sizes = self.segments = None
         frequent = docs.sparkSession.sparkContext.broadcast(frequent_ngrams(self.docs, n_words))
         self.sets = stored(self.docs.mapInArrow(_sketch(to_arrow_type(kind), n_words, threshold, frequent), schema), "sets")
@@ -216,37 +243,51 @@ class _Join:
         ends = stored(ends.where((F.col("uses") > 2) | _fit(F.col("hub"), F.col("far"))), "ends")
         return join_groups(met, ends, "key", "uses", F.xxhash64("class")).where("hub is not null").drop("uses")
 
+    def describe(self, *classes: DataFrame) -> None:
+        """An id, size and bits of the classes that have none yet."""
+        wanted = reduce(DataFrame.union, classes).toDF("class").distinct()
+        if self.sizes is not None:
+            wanted = wanted.join(self.sizes, "class", "left_anti")
+        # All rows of a class have the same size and bits.
+        rows = self.sets.where("class is not null").select("class", "id", "n", "bits").join(wanted, "class", "left_semi")
+        one = rows.groupBy("class").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("bits").alias("bits"))
+        sizes = stored(one, "sizes")
+        self.sizes = sizes if self.sizes is None else self.sizes.union(sizes)
+
+    def possible(self, pairs: DataFrame) -> DataFrame:
+        """a, b, n_a, n_b of the pairs whose sizes and bits allow a link."""
+        num, den = self.threshold
+        of = lambda x: self.sizes.select(F.col("class").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}"))
+        hubs = stored(pairs.groupBy("b").agg(F.count("*").alias("pairs")).join(of("b"), "b"), "hubs")
+        both = join_groups(pairs.join(of("a"), "a"), hubs, "b", "pairs", F.xxhash64("a"))
+        near = both.where((den * F.least("n_a", "n_b") >= num * F.greatest("n_a", "n_b")) & _bits_fit(self.threshold))
+        return stored(near.select("a", "b", "n_a", "n_b"), "near")
+
     def prepare(self, *pairs: DataFrame) -> None:
-        """Sizes, and segments for overlap counts, of the classes in the pairs that have none yet."""
+        """Segments for overlap counts, of the classes in the pairs that have none yet."""
         ends = [p.select(F.col(c).alias("class")) for p in pairs for c in ("a", "b")]
         wanted = reduce(DataFrame.union, ends).distinct()
-        if self.sizes is not None:
-            wanted = wanted.join(self.sizes, "class", "left_anti")
-        classes = self.sets.where("class is not null").groupBy("class").agg(F.min("id").alias("id"), F.first("n").alias("n"))
-        sizes = stored(classes.join(wanted, "class"), "sizes")
+        if self.segments is not None:
+            wanted = wanted.join(self.segments.select("class"), "class", "left_anti")
+        wanted = stored(self.sizes.select("class", "id").join(wanted, "class"), "wanted")
         # Only the documents that stand for a class here are read again.
-        slots = filter_slots(sizes.count())
-        docs = mark_possible(self.docs, key_filter(sizes, "id", slots=slots), "possible", F.col("id"), slots=slots)
+        slots = filter_slots(wanted.count())
+        docs = mark_possible(self.docs, key_filter(wanted, "id", slots=slots), "possible", F.col("id"), slots=slots)
         docs = docs.where("possible").select("text")
         segments = docs.mapInArrow(_segments(self.n_words), "class bigint, fragment int, ngrams binary")
-        needed = segments.join(sizes.select("class"), "class", "left_semi")
+        needed = segments.join(wanted.select("class"), "class", "left_semi")
         segments = stored(needed.dropDuplicates(["class", "fragment"]), "segments")
-        self.sizes = sizes if self.sizes is None else self.sizes.union(sizes)
         self.segments = segments if self.segments is None else self.segments.union(segments)
 
-    def compare(self, pairs: DataFrame, distances: bool = False) -> DataFrame:
-        """a, b, distance, linked of the pairs whose sizes allow half the similarity asked for, or a link.
+    def compare(self, pairs: DataFrame) -> DataFrame:
+        """a, b of the linked pairs, from pairs with their sizes.
 
         One job per fragment, which frees its shuffles before the next one. Pairs that cannot
-        be linked any more, whatever the fragments to come hold, go, unless ``distances`` are asked for.
+        be linked any more, whatever the fragments to come hold, go.
         """
         num, den = self.threshold
-        least = max(0.0, 2 * num / den - 1)
-        n_a = self.sizes.select(F.col("class").alias("a"), F.col("n").alias("n_a"))
-        n_b = self.sizes.select(F.col("class").alias("b"), F.col("n").alias("n_b"))
         per_hub = stored(pairs.groupBy("b").agg(F.count("*").alias("pairs")), "pairs-per-hub")
-        near = join_groups(pairs.join(n_a, "a"), per_hub.join(n_b, "b"), "b", "pairs", F.xxhash64("a"))
-        near = near.where(F.least("n_a", "n_b") >= least * F.greatest("n_a", "n_b"))
+        near = join_groups(pairs, per_hub, "b", "pairs", F.xxhash64("a"))
         # A hub's segments are laid out once for every HUB_PAIRS pairs it is in.
         near = near.withColumn("place", F.pmod(F.xxhash64("a", F.lit(3)), F.ceil(F.col("pairs") / HUB_PAIRS)))
         zero = F.lit(0).cast("bigint")
@@ -258,9 +299,9 @@ class _Join:
             left = near.join(part.withColumnRenamed("class", "a"), "a")
             right = near.select("b", "place").distinct().join(part.select(F.col("class").alias("b"), F.col("ngrams").alias("others")), "b")
             summed = left.join(right, ["b", "place"]).select(*PAIR, "ngrams", "others").mapInArrow(_add_overlap, schema)
-            near = stored(summed if distances else summed.where(den * most >= num * (F.col("n_a") + F.col("n_b") - most)), "pairs")
+            near = stored(summed.where(den * most >= num * (F.col("n_a") + F.col("n_b") - most)), "pairs")
         union = F.col("n_a") + F.col("n_b") - F.col("overlap")
-        return near.select("a", "b", (1 - F.col("overlap") / union).alias("distance"), (den * F.col("overlap") >= num * union).alias("linked"))
+        return near.where(den * F.col("overlap") >= num * union).select("a", "b")
 
     def links(self) -> DataFrame:
         """class, component of the classes that are linked with another one."""
@@ -275,44 +316,76 @@ class _Join:
             may = _fit(F.struct("n", "reach"), end) & (F.col("class") != end["class"])
             stars.append(members.where(may).select(F.col("class").alias("a"), end["class"].alias("b")))
         stars = [stored(star.distinct(), "star") for star in stars]
+        self.describe(*[star.select(c) for star in stars for c in ("a", "b")])
+        stars = [self.possible(star) for star in stars]
         self.prepare(*stars)
-        compared = self.compare(stars[0], distances=True)
-        links = compared.where("linked")
+        links = self.compare(stars[0])
         found = connected_components(links)
         # Again with the other end of each key's classes, where the star left components apart.
         apart = stored(_across(stars[1], found), "star")
         if apart.limit(1).count():
-            links = links.union(self.compare(apart).where("linked"))
+            links = links.union(self.compare(apart))
             found = connected_components(links)
-        rest = stored(self._between(members, found, compared), "rest")
+        # Whatever may be linked with a key's hub or far end has met it.
+        others = members.where((F.col("class") != F.col("hub")["class"]) & (F.col("class") != F.col("far")["class"]))
+        rows = self._apart(others, found)
+        for _ in range(MORE_HUBS):
+            star, left = self._crowded(rows)
+            if not star.limit(1).count():
+                break
+            self.describe(star.select("a"), star.select("b"))
+            near = self.possible(star)
+            self.prepare(near)
+            more = self.compare(near)
+            n_more = more.count()
+            if n_more:
+                links = links.union(more)
+                found = connected_components(links)
+            rows = self._apart(left, found)
+            if not n_more or n_more < LINKED_SHARE * near.count():
+                break
+        self.describe(rows.select("class"))
+        rest = stored(self._between(rows), "rest")
         if rest.limit(1).count():
             self.prepare(rest)
-            found = connected_components(links.union(self.compare(rest).where("linked")))
+            found = connected_components(links.union(self.compare(rest)))
         return found
 
-    def _between(self, members: DataFrame, found: DataFrame, compared: DataFrame) -> DataFrame:
-        """Pairs that meet in a key, lie in different components and may still be linked."""
-        slim = members.select("key", "class", "n", "reach", F.col("hub")["class"].alias("hub"))
-        labelled = slim.join(found.withColumnRenamed("node", "class"), "class", "left")
-        labelled = labelled.withColumn("component", F.coalesce("component", "class"))
-        distance = compared.select(F.col("a").alias("class"), F.col("b").alias("hub"), "distance")
-        rows = labelled.join(distance, ["class", "hub"], "left").withColumn(
-            "distance", F.when(F.col("class") == F.col("hub"), 0.0).otherwise(F.col("distance"))
-        )
-        rows = stored(rows, "labelled-keys")
-        sides = rows.groupBy("key", "component").agg(F.min("n").alias("n"), F.max("reach").alias("reach"))
-        others = sides.select("key", F.col("component").alias("other"), F.col("n").alias("n_b"), F.col("reach").alias("r_b"))
-        fits = (F.col("component") < F.col("other")) & (F.col("n") <= F.col("r_b")) & (F.col("n_b") <= F.col("reach"))
-        side = sides.join(others, "key").where(fits).select("key", "component", "other")
-        of = lambda x: [F.col("class").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("distance", "n", "reach")]]
-        left = rows.select("key", "component", *of("a"))
-        right = rows.select("key", F.col("component").alias("other"), *of("b"))
-        least = self.threshold[0] / self.threshold[1]
-        may = (F.col("n_a") <= F.col("reach_b")) & (F.col("n_b") <= F.col("reach_a")) & F.coalesce(
-            F.abs(F.col("distance_a") - F.col("distance_b")) <= 1 - least + 1e-9, F.lit(True)
-        )
-        pairs = side.join(left, ["key", "component"]).join(right, ["key", "other"]).where(may)
-        return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    def _apart(self, rows: DataFrame, found: DataFrame) -> DataFrame:
+        """The rows of keys whose classes lie in different components, with component and the key's classes."""
+        labelled = rows.select("key", "class", "n", "reach").join(found.withColumnRenamed("node", "class"), "class", "left")
+        rows = stored(labelled.withColumn("component", F.coalesce("component", "class")), "labelled-keys")
+        per_key = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("classes"))
+        per_key = stored(per_key.where("low != high").select("key", "classes"), "keys-apart")
+        return stored(join_groups(rows, per_key, "key", "classes", F.xxhash64("class")).where("classes is not null"), "labelled-keys")
+
+    def _crowded(self, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Pairs of one class of each key of several blocks with the others it may be linked with, and the rows without it."""
+        first = F.struct(F.xxhash64("class"), "class", "n", "reach", "component")
+        hubs = rows.where(F.col("classes") > BLOCK_CLASSES).groupBy("key").agg(F.min(first).alias("hub"), F.count("*").alias("uses"))
+        both = stored(join_groups(rows, stored(hubs, "ends"), "key", "uses", F.xxhash64("class")), "labelled-keys")
+        hub = F.col("hub")
+        may = _fit(F.struct("n", "reach"), hub) & (F.col("component") != hub["component"])
+        star = stored(both.where(may).select(F.col("class").alias("a"), hub["class"].alias("b")).distinct(), "star")
+        return star, both.where(hub.isNull() | (F.col("class") != hub["class"]))
+
+    def _between(self, rows: DataFrame) -> DataFrame:
+        """a, b, n_a, n_b: pairs that meet in a key, lie in different components and may still be linked."""
+        rows = rows.join(self.sizes.select("class", "bits"), "class")
+        blocks = F.ceil(F.col("classes") / BLOCK_CLASSES)
+        rows = rows.withColumn("last", blocks - 1).withColumn("block", F.pmod(F.xxhash64("class", F.lit(7)), blocks))
+        zero = F.lit(0).cast("bigint")
+        of = lambda x: [F.col(c).alias(c if c == "key" else f"{c}_{x}") for c in ("key", "class", "component", "n", "reach", "bits")]
+        left = rows.select(*of("a"), F.col("block").alias("i"), F.explode(F.sequence("block", "last")).alias("j"))
+        right = rows.select(*of("b"), F.explode(F.sequence(zero, F.col("block"))).alias("i"), F.col("block").alias("j"))
+        may = (F.col("component_a") != F.col("component_b")) & ((F.col("i") < F.col("j")) | (F.col("class_a") < F.col("class_b")))
+        may &= (F.col("n_a") <= F.col("reach_b")) & (F.col("n_b") <= F.col("reach_a"))
+        met = left.join(right, ["key", "i", "j"]).where(may & _bits_fit(self.threshold))
+        swap = F.col("class_a") > F.col("class_b")
+        ends = {c: F.when(swap, F.col(other)).otherwise(F.col(own)) for c, own, other in [
+            ("a", "class_a", "class_b"), ("b", "class_b", "class_a"), ("n_a", "n_a", "n_b"), ("n_b", "n_b", "n_a")
+        ]}
+        return met.select(*[value.alias(c) for c, value in ends.items()]).distinct()
 
 
 def _across(pairs: DataFrame, found: DataFrame) -> DataFrame:
@@ -321,7 +394,7 @@ def _across(pairs: DataFrame, found: DataFrame) -> DataFrame:
     per_b = pairs.groupBy("b").agg(F.count("*").alias("n"))
     per_b = stored(per_b.join(found.select(F.col("node").alias("b"), F.col("component").alias("c_b")), "b", "left"), "ends")
     both = join_groups(pairs.join(a, "a", "left"), per_b, "b", "n", F.xxhash64("a"))
-    return both.where(F.coalesce(F.col("c_a"), F.col("a")) != F.coalesce(F.col("c_b"), F.col("b"))).select("a", "b")
+    return both.where(F.coalesce(F.col("c_a"), F.col("a")) != F.coalesce(F.col("c_b"), F.col("b"))).select(pairs.columns)
 
 
 def similarity_groups(

@@ -118,6 +118,54 @@ def test_frequent_ngrams_come_last(spark, monkeypatch):
     assert join.members().count() == 0
 
 
+def test_bits_keep_every_linked_pair_and_drop_others(spark, threshold=(85, 100)):
+    """Linked sets pass whatever their sizes; sets of a few n-grams in common do not."""
+    rng = np.random.default_rng(3)
+    rows, linked = [], []
+    for k in range(400):
+        size = int(rng.integers(1, 1500))
+        a = np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64))
+        gone = int(rng.integers(0, size // 5 + 1)) if k % 4 else len(a) - len(a) // 10
+        b = np.unique(np.concatenate([a[gone:], rng.integers(0, 1 << 63, gone, dtype=np.uint64)]))
+        both = len(np.intersect1d(a, b))
+        linked.append(100 * both >= 85 * (len(a) + len(b) - both))
+        rows.append((k, len(a), len(b), jj.parities(a).tolist(), jj.parities(b).tolist()))
+    df = spark.createDataFrame(rows, "k int, n_a bigint, n_b bigint, bits_a array<bigint>, bits_b array<bigint>")
+    left = {r.k for r in df.where(jj._bits_fit(threshold)).collect()}
+    assert {k for k in range(400) if linked[k]} <= left and any(linked)
+    assert not [k for k in left if k % 4 == 0 and rows[k][1] > 100]
+
+
+def test_dissimilar_documents_of_an_ngram_are_not_compared(spark, monkeypatch):
+    """No n-grams are laid out for documents that have little in common but an n-gram of their prefixes."""
+    monkeypatch.setattr(jj, "MOST_FREQUENT", 0)
+    rows = [(i, " ".join([f"p{j}" for j in range(30)] + [f"own{i}x{j}" for j in range(120)]), "s") for i in range(40)]
+    df, compared = documents(spark, rows), []
+    compare = jj._Join.compare
+    monkeypatch.setattr(jj._Join, "compare", lambda self, pairs: compared.append(pairs.count()) or compare(self, pairs))
+    assert joined(df, 4, (85, 100)) == by_brute_force([r[:2] for r in rows], 4, (85, 100))
+    assert sum(compared) == 0
+
+
+def test_crowded_ngrams_meet_in_blocks(spark, monkeypatch):
+    """Several groups of near copies, and texts near the threshold, that all have n-grams in common."""
+    rng = random.Random(11)
+    passage = [f"p{i}" for i in range(60)]
+    rows = []
+    for _ in range(6):
+        base = passage + [f"w{rng.randrange(10**6)}" for _ in range(30)]
+        for _ in range(6):
+            words = list(base)
+            for _ in range(rng.randint(0, 3)):
+                words[rng.randrange(len(words))] = f"own{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(words), "s"))
+    expected = by_brute_force([r[:2] for r in rows], 4, (85, 100))
+    for block, hubs in ((3, 1), (3, 0)):
+        monkeypatch.setattr(jj, "BLOCK_CLASSES", block)
+        monkeypatch.setattr(jj, "MORE_HUBS", hubs)
+        assert joined(documents(spark, rows), 4, (85, 100)) == expected
+
+
 def test_words_hash_alike_wherever_they_stand():
     text = ("Alpha beta\tALPHA\n" + "x" * 700_000 + " alpha ß ").encode()
     starts, hashes = hash_words(np.frombuffer(text, np.uint8))
