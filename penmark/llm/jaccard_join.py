@@ -61,7 +61,7 @@ HUB_PAIRS = 500
 BITS = 1024
 # N-grams with classes apart for several blocks get so many further hubs at most, one by one, while
 # this share of the pairs with them that bits allow is linked.
-MORE_HUBS = 8
+MORE_HUBS = 2
 LINKED_SHARE = 0.1
 # Classes of one n-gram that meet those of another block in one place.
 BLOCK_CLASSES = 256
