@@ -22,6 +22,21 @@ def test_csv_round_trip(spark, tmp_path):
     assert sorted(map(tuple, back.collect())) == TRICKY
 
 
+def test_wide_csv_is_packed(spark, tmp_path):
+    """Versions of one text in a row, in all folders: a tenth of their size at most, and the same rows again."""
+    text = [" ".join(f"w{i * k % 997}" for k in range(200)) for i in range(60)]
+    rows = [(i, t, t + " x", "y " + t, t, t, corpus.GENERATION_METHODS[i % 3]) for i, t in enumerate(text)]
+    df = spark.createDataFrame(rows, T.StructType([*corpus.WIDE_SCHEMA, T.StructField("generation_method", T.StringType())]))
+    corpus.write_wide_csv(df.drop("generation_method").coalesce(1), f"{tmp_path}/wide")
+    corpus.write_wide_csv(df.coalesce(1), f"{tmp_path}/by_method", partition_by="generation_method")
+    for folder in ("wide", "by_method"):
+        files = [f for f in (tmp_path / folder).rglob("part-*")]
+        assert files and all(f.name.endswith(".csv.gz") for f in files)
+        assert sum(f.stat().st_size for f in files) < 0.15 * sum(len(c) for r in rows for c in r[1:6])
+        back = corpus.scan_csv(spark, f"{tmp_path}/{folder}", corpus.WIDE_SCHEMA).collect()
+        assert sorted(map(tuple, back)) == [r[:6] for r in rows]
+
+
 def test_byte_order_mark_and_doubled_quotes(spark, tmp_path):
     path = tmp_path / "by_polishing.csv"
     path.write_text('﻿original_abstract,extra\n"He said ""no""\nand left",7\n', encoding="utf-8")
