@@ -10,6 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from penmark.functions.text import FEATURE_COLUMNS
+from penmark.sources.corpus import write_table
+
+# Bits of a table that tells which keys may be among some others: eight for each of these, within limits.
+LEAST_SLOTS, MOST_SLOTS = 1 << 20, 1 << 27
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -20,6 +24,42 @@ def group_count(df: DataFrame, *keys: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("count"))
 
 
+def _bits(rows: DataFrame, key: str, slots: int) -> DataFrame:
+    """One bit for each of ``slots`` hash values, 64 to a row: set for those of a key."""
+    slot = F.pmod(F.xxhash64(key), F.lit(slots))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (slot % 64).cast("int"))
+    return rows.groupBy((slot / 64).cast("bigint").alias("word")).agg(F.bit_or(bit).alias("bits"))
+
+
+def _marked(rows: DataFrame, bits: DataFrame, key: str, flag: str, slots: int) -> DataFrame:
+    """Add ``flag``: false for rows whose key is not among those of ``bits``."""
+    slot = F.pmod(F.xxhash64(key), F.lit(slots))
+    found = rows.withColumn("word", (slot / 64).cast("bigint")).join(F.broadcast(bits), "word", "left")
+    bit = F.call_function("shiftright", "bits", (slot % 64).cast("int")).bitwiseAND(F.lit(1).cast("bigint"))
+    return found.withColumn(flag, F.coalesce(bit == 1, F.lit(False))).drop("word", "bits")
+
+
+def text_counts(df: DataFrame, text: str, path: str) -> DataFrame:
+    """As ``group_count`` of a Parquet table by a column of long texts, which are not shuffled to be counted.
+
+    Digests are counted first, with the place of each one's first row, and kept at ``path``.
+    Texts of one row are returned where they lie, and of the others only the first row is
+    shuffled. Two tables of bits, broadcast, tell which texts and which rows may be these.
+    """
+    row = F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    digest = F.coalesce(F.unhex(F.md5(F.col(text).cast("binary"))), F.lit(b""))
+    rows = df.select(F.col(text), digest.alias("digest"), row.alias("at"))
+    groups = write_table(rows.groupBy("digest").agg(F.count(F.lit(1)).alias("count"), F.min("at").alias("at")), path)
+    several = groups.where("count > 1")
+    slots = min(max(1 << (8 * several.count()).bit_length(), LEAST_SLOTS), MOST_SLOTS)
+    texts = _bits(several, "digest", slots)
+    groups = _marked(groups, texts, "digest", "several", slots).where("several").drop("several")
+    marked = _marked(rows, texts, "digest", "several", slots)
+    once = marked.where("not several").select(text, F.lit(1).cast("bigint").alias("count"))
+    first = _marked(marked.where("several").drop("several"), _bits(groups, "at", slots), "at", "first", slots).where("first")
+    return once.union(first.join(groups, ["digest", "at"]).select(text, "count"))
+
+
 def explode_words(df: DataFrame, *keep: str, tokens: str = "tokens") -> DataFrame:
     """One row per token; empty arrays give none.
 

@@ -68,6 +68,16 @@ def test_long_form_scans_once_and_keeps_nulls(spark, sf):
     assert labels["ai"] == 4 * labels["human"]
 
 
+def test_text_counts_equal_grouping_by_text(spark, tmp_path):
+    texts = [None, None, "", "", "", "a", "b", "b"] + [f"text {i}" for i in range(300)] + [f"text {i * 7}" for i in range(20)]
+    spark.createDataFrame([(t,) for t in texts], "text string").repartition(5).write.parquet(f"{tmp_path}/t")
+    table = spark.read.parquet(f"{tmp_path}/t")
+    found = counts.text_counts(table, "text", f"{tmp_path}/digests")
+    assert sorted(map(str, found.collect())) == sorted(map(str, counts.group_count(table, "text").collect()))
+    none = counts.text_counts(table.where("false"), "text", f"{tmp_path}/none")
+    assert none.count() == 0 and none.schema == found.schema
+
+
 def test_label_counts_read_no_texts(spark, sf):
     assert "ReadSchema: struct<>" in plan_of(counts.group_count(catalog.long(spark, sf), "label"))
 
